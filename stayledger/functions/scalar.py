@@ -105,7 +105,8 @@ def interior_bin(c: Column | str, interior: Sequence[float], side: str) -> Colum
     if not interior:
         return F.when(c.isNotNull(), F.lit(0))
     beyond = (lambda e: c >= e) if side == "left" else (lambda e: c > e)
-    return total([F.when(beyond(F.lit(float(e))), 1).otherwise(0) for e in interior])
+    steps = [F.when(beyond(F.lit(float(e))), 1).otherwise(0) for e in interior]
+    return F.when(c.isNotNull(), total(steps))
 
 
 def month_angle(month: Column | str) -> Column:

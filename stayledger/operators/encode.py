@@ -27,81 +27,87 @@ def levels_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ())
     return df.select(*keep, F.inline(F.array(*cells)))
 
 
-def fit_frequency(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+def level_sums(
+    train: DataFrame, columns: Sequence[str], target: str | None = None, k: int = 0
+) -> DataFrame:
+    """Settled sums per (feature, level): rows, labelled rows n and positives s, also per fold.
+
+    One grouping serves the frequency code, the target code and its out-of-fold form; hot levels are
+    folded map-side.
+    """
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    if target:
+        y = F.col(target)
+        aggs += [F.count(y).alias("n"), F.coalesce(F.sum(y), F.lit(0)).alias("s")]
+        for j in range(k):
+            mine = F.when(F.col("fold") == j, y)
+            aggs += [
+                F.count(mine).alias(f"n{j}"),
+                F.coalesce(F.sum(mine), F.lit(0)).alias(f"s{j}"),
+            ]
+    keep = ([target] if target else []) + (["fold"] if k else [])
+    return settle(levels_long(train, columns, keep).groupBy("feature", "level").agg(*aggs))
+
+
+def frequency_from(sums: DataFrame) -> DataFrame:
     """Share of each level among train rows."""
-    counts = settle(
-        levels_long(train, columns).groupBy("feature", "level").agg(F.count(F.lit(1)).alias("n"))
-    )
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("n_total"))
-    return counts.join(F.broadcast(totals), "feature").select(
-        "feature", "level", "n", (F.col("n") / F.col("n_total")).alias("value")
+    totals = sums.groupBy("feature").agg(F.sum("rows").alias("n_total"))
+    return sums.join(F.broadcast(totals), "feature").select(
+        "feature",
+        "level",
+        F.col("rows").alias("n"),
+        (F.col("rows") / F.col("n_total")).alias("value"),
     )
 
 
+def fit_frequency(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return frequency_from(level_sums(train, columns))
+
+
+def _one_feature(sums: DataFrame) -> DataFrame:
+    """The sums of a single feature; over its levels they add up to all train rows."""
+    feature = sums.agg(F.min("feature")).first()[0]
+    return sums.where(F.col("feature") == F.lit(feature))
+
+
+def target_means_from(sums: DataFrame, m: float = 20.0) -> tuple[DataFrame, float | None]:
+    """Smoothed target mean per level, and the prior; (sum + m * prior) / (count + m)."""
+    prior = _one_feature(sums).agg(F.try_divide(F.sum("s").cast("double"), F.sum("n"))).first()[0]
+    value = F.try_divide(F.col("s") + F.lit(m) * F.lit(prior), F.col("n") + F.lit(m))
+    seen = F.when(F.col("n") > 0, value).otherwise(F.lit(prior)).cast("double")
+    return sums.select("feature", "level", "n", seen.alias("value")), prior
+
+
 def fit_target_means(
     train: DataFrame, columns: Sequence[str], target: str, m: float = 20.0
 ) -> tuple[DataFrame, float | None]:
-    """Smoothed target mean per level, and the prior; (sum + m * prior) / (count + m)."""
-    sums = settle(
-        levels_long(train, columns, keep=[target])
-        .groupBy("feature", "level")
-        .agg(F.count(target).alias("n"), F.sum(target).alias("s"))
-    )
-    prior = (
-        sums.where(F.col("feature") == columns[0])
-        .agg(F.try_divide(F.sum("s").cast("double"), F.sum("n")))
-        .first()[0]
-    )
-    value = F.try_divide(F.col("s") + F.lit(m) * F.lit(prior), F.col("n") + F.lit(m))
-    return sums.select("feature", "level", "n", value.alias("value")), prior
+    return target_means_from(level_sums(train, columns, target), m)
 
 
-def fit_target_means_out_of_fold(
-    train: DataFrame,
-    columns: Sequence[str],
-    target: str,
-    fold: str = "fold",
-    k: int = 5,
-    m: float = 20.0,
-    absent: str = "fold_prior",
+def out_of_fold_from(
+    sums: DataFrame, k: int = 5, m: float = 20.0, absent: str = "fold_prior"
 ) -> DataFrame:
     """Per (feature, level, fold) the smoothed mean over all *other* folds.
 
-    One grouping: the other folds' sums are the level's total minus the fold's own. A level that
-    the other folds never saw gets their prior, or the prior of all train rows with
+    The other folds' sums are the level's total minus the fold's own, so no fold is scanned twice.
+    A level that the other folds never saw gets their prior, or the prior of all train rows with
     absent="global_prior".
     """
-    per_fold = [
-        c
-        for j in range(k)
-        for c in (
-            F.count(F.when(F.col(fold) == j, F.col(target))).alias(f"n{j}"),
-            F.coalesce(F.sum(F.when(F.col(fold) == j, F.col(target))), F.lit(0)).alias(f"s{j}"),
-        )
-    ]
-    wide = (
-        levels_long(train, columns, keep=[target, fold])
-        .groupBy("feature", "level")
-        .agg(F.count(target).alias("n"), F.coalesce(F.sum(target), F.lit(0)).alias("s"), *per_fold)
-    )
-    wide = settle(wide)
     whole = (
-        wide.where(F.col("feature") == columns[0])
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum("s").alias("s"),
-            *[F.sum(f"{x}{j}").alias(f"{x}{j}") for j in range(k) for x in "ns"],
-        )
+        _one_feature(sums)
+        .agg(*[F.sum(c).alias(c) for c in ["n", "s", *[f"{x}{j}" for j in range(k) for x in "ns"]]])
         .first()
     )
 
-    def share(s: float, n: float) -> float | None:
+    def share(s: float | None, n: float | None) -> float | None:
         return s / n if n else None
 
-    global_prior = share(whole["s"], whole["n"]) if whole["n"] else None
+    global_prior = share(whole["s"], whole["n"])
     cells = []
     for j in range(k):
-        prior = share(whole["s"] - whole[f"s{j}"], whole["n"] - whole[f"n{j}"])
+        prior = share(
+            (whole["s"] or 0) - (whole[f"s{j}"] or 0), (whole["n"] or 0) - (whole[f"n{j}"] or 0)
+        )
         n_other = F.col("n") - F.col(f"n{j}")
         smoothed = F.try_divide(
             F.col("s") - F.col(f"s{j}") + F.lit(m) * F.lit(prior), n_other + F.lit(m)
@@ -109,14 +115,23 @@ def fit_target_means_out_of_fold(
         unseen = F.lit(prior if absent == "fold_prior" else global_prior)
         cells.append(
             F.struct(
-                F.lit(j).alias(fold),
+                F.lit(j).alias("fold"),
                 F.col(f"n{j}").alias("n"),
                 F.when(n_other > 0, smoothed).otherwise(unseen).cast("double").alias("value"),
             )
         )
-    return settle(
-        wide.select("feature", "level", F.inline(F.array(*cells))).where("n > 0")
-    )
+    return sums.select("feature", "level", F.inline(F.array(*cells))).where("n > 0")
+
+
+def fit_target_means_out_of_fold(
+    folded: DataFrame,
+    columns: Sequence[str],
+    target: str,
+    k: int = 5,
+    m: float = 20.0,
+    absent: str = "fold_prior",
+) -> DataFrame:
+    return out_of_fold_from(level_sums(folded, columns, target, k), k, m, absent)
 
 
 def apply_levels(
@@ -193,14 +208,16 @@ class EncoderState:
         return one_hot(df.drop(*self.high_card), self.levels).drop(*self.drop_after)
 
 
-def fit_encoders(
-    train: DataFrame, roles: Roles = Roles(), m: float = 20.0
-) -> EncoderState:
-    frequency = fit_frequency(train, roles.high_card)
-    means, prior = fit_target_means(train, roles.high_card, roles.target, m)
-    levels = train_levels(train, roles.nominal)
+def fit_encoders(train: DataFrame, roles: Roles = Roles(), m: float = 20.0) -> EncoderState:
+    sums = level_sums(train, roles.high_card, roles.target)
+    means, prior = target_means_from(sums, m)
     return EncoderState(
-        frequency, means, prior, levels, list(roles.high_card), list(roles.drop_after_encoding)
+        frequency_from(sums),
+        means,
+        prior,
+        train_levels(train, roles.nominal),
+        list(roles.high_card),
+        list(roles.drop_after_encoding),
     )
 
 
@@ -213,12 +230,22 @@ def encode_train_test(
     seed: int | str = 42,
     absent: str = "fold_prior",
 ) -> tuple[DataFrame, DataFrame, EncoderState]:
-    """Train rows get out-of-fold target codes, test rows the full-train ones."""
-    state = fit_encoders(train, roles, m)
+    """Train rows get out-of-fold target codes, test rows the full-train ones.
+
+    Train is read several times: pass a staged table.
+    """
     folded = stratified_folds(train, roles.target, roles.id, k, seed)
-    oof = fit_target_means_out_of_fold(
-        folded, roles.high_card, roles.target, k=k, m=m, absent=absent
+    sums = level_sums(folded, roles.high_card, roles.target, k)
+    means, prior = target_means_from(sums, m)
+    state = EncoderState(
+        frequency_from(sums),
+        means,
+        prior,
+        train_levels(train, roles.nominal),
+        list(roles.high_card),
+        list(roles.drop_after_encoding),
     )
+    oof = out_of_fold_from(sums, k, m, absent)
     coded = apply_levels(folded, state.frequency, roles.high_card, "_freq", 0.0)
-    coded = apply_levels(coded, oof, roles.high_card, "_te", state.prior, also_on=["fold"])
+    coded = apply_levels(coded, oof, roles.high_card, "_te", prior, also_on=["fold"])
     return state._finish(coded.drop("fold")), state.apply(test), state

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import hash_rank_key
-from ..session import settle
+from ..session import stage
 from .ordering import range_splits, with_range
 
 
@@ -123,7 +123,8 @@ def oversample_minority(
     if needed == 0:
         return kept
 
-    near = settle(near_neighbours(train.where(F.col(target) == minority), id_col, features, k, seed))
+    minority_rows = train.where(F.col(target) == minority)
+    near = stage(near_neighbours(minority_rows, id_col, features, k, seed), "neighbours")
     whole, rest = divmod(needed, few)
     # The `rest` rows with the smallest hashes make one synthetic row more than the others.
     from .sampling import sample_fraction

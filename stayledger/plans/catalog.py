@@ -1,6 +1,14 @@
 """Imports every query module, which registers its queries."""
 
-from . import queries_cleaning, queries_features, queries_profile  # noqa: F401
+from . import (  # noqa: F401
+    queries_cleaning,
+    queries_demand,
+    queries_drift,
+    queries_features,
+    queries_models,
+    queries_profile,
+    queries_split,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -58,3 +58,13 @@ def settle(df: DataFrame) -> DataFrame:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a written table or a stream checkpoint."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once as a columnar table in the shared folder and read it back.
+
+    For data that several passes read: each later pass scans only the columns it needs.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
