@@ -8,6 +8,7 @@ from . import (  # noqa: F401
     queries_models,
     queries_profile,
     queries_split,
+    queries_stream,
 )
 from .registry import ORACLES, QUERIES
 
