@@ -88,9 +88,7 @@ def order_statistics(
         points = first[f"s_{i}"]
         for r in ranks:
             g = int(r / max(n - 1, 1) * GRID)
-            lo = points[g - 1] if g >= 1 else None
-            hi = points[g + 2] if g + 2 <= GRID else None
-            pending.append(Bracket(name, [r], lo, hi))
+            pending.append(Bracket(name, [r], points[max(g - 1, 0)], points[min(g + 2, GRID)]))
 
     for _ in range(MAX_ROUNDS):
         if not pending:
@@ -119,11 +117,11 @@ def order_statistics(
             else:
                 points = seen[f"s_{j}"]
                 g = int((r - b.below) / max(b.inside - 1, 1) * GRID)
-                lo = points[g - 1] if g >= 1 else b.lo
-                hi = points[g + 2] if g + 2 <= GRID else b.hi
+                lo, hi = points[max(g - 1, 0)], points[min(g + 2, GRID)]
                 again.append(Bracket(b.name, b.ranks, lo, hi, outer=(b.lo, b.hi)))
         pending = again
-    ready += pending  # still exact; only the sort is larger than hoped
+    for b in pending:  # never narrowed enough: sort all distinct values, still exact
+        ready.append(Bracket(b.name, b.ranks, inside=counts[b.name]))
 
     found: dict[str, dict[int, object]] = {n: {} for n in names}
     to_sort = []
