@@ -232,10 +232,12 @@ def permutation_importance(
     features: Sequence[str],
     target: str,
     seed: int = 42,
+    shuffle: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Loss of average precision when one feature is shuffled among the rows.
+    """Loss of average precision when one of the model's features is shuffled among the rows.
 
     Two hash orders number the rows once; a feature is shuffled by joining number to number.
+    `shuffle` limits which features are tried.
     """
     first = held_out.select(
         id_col, target, *features, hash_rank_key(id_col, f"a-{seed}").alias("_h")
@@ -250,7 +252,7 @@ def permutation_importance(
 
     base = ap(left)
     rows = []
-    for f in features:
+    for f in shuffle or features:
         shuffled = left.drop(f).join(right.select("position", f), "position")
         rows.append((f, base - ap(shuffled)))
     table = held_out.sparkSession.createDataFrame(rows, "feature string, ap_loss double")

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalar import hash_rank_key, month_number, period_of, total
 from ..schema import Roles
@@ -164,15 +165,24 @@ def rolling_folds(n: int, k: int = 5, window: int | None = None) -> list[Fold]:
     return [f for f in folds if f.train_from < f.valid_from < f.valid_to]
 
 
+def _order_key(id_col: str, hashed: bool) -> Column:
+    return hash_rank_key(id_col, "order") if hashed else F.col(id_col)
+
+
 @dataclass(frozen=True)
 class TimePlan:
-    """Folds with the (period, id) row that opens each cut position."""
+    """Folds with the (period, order key) row that opens each cut position."""
 
     n: int
     folds: list[Fold]
-    opens: dict[int, tuple]  # position -> (period, id) of the row there
+    opens: dict[int, tuple]  # position -> (period, order key) of the row there
     period: str
     id_col: str
+    hashed: bool = False
+
+    @property
+    def key(self) -> Column:
+        return _order_key(self.id_col, self.hashed)
 
     def at_or_after(self, position: int) -> Column:
         if position <= 0:
@@ -181,7 +191,7 @@ class TimePlan:
             return F.lit(False)
         p, i = self.opens[position]
         return (F.col(self.period) > F.lit(p)) | (
-            (F.col(self.period) == F.lit(p)) & (F.col(self.id_col) >= F.lit(i))
+            (F.col(self.period) == F.lit(p)) & (self.key >= F.lit(i))
         )
 
     def between(self, start: int, stop: int) -> Column:
@@ -206,8 +216,11 @@ def plan_time_folds(
     """Turn fold positions in the order (period, id) into boundary rows.
 
     The period histogram says which period holds a position; an exact rank search inside that
-    period gives the id. No row gets a number and none is moved.
+    period gives the id. No row gets a number and none is moved. Ids that are not numbers are
+    ordered by their hash.
     """
+    hashed = not isinstance(df.schema[id_col].dataType, T.NumericType)
+    key = _order_key(id_col, hashed)
     counts = period_counts(df, period)
     n = sum(c for _, c in counts)
     if scheme == "expanding":
@@ -228,7 +241,7 @@ def plan_time_folds(
             where[f"p{value}"] = (value, seen)
         seen += size
     columns = {
-        name: F.when(F.col(period) == F.lit(value), F.col(id_col))
+        name: F.when(F.col(period) == F.lit(value), key)
         for name, (value, _) in where.items()
     }
     _, found = order_statistics(df, columns, lambda name, _n: inside[name], limit)
@@ -237,7 +250,7 @@ def plan_time_folds(
         for name, ranks in found.items()
         for rank, row_id in ranks.items()
     }
-    return TimePlan(n, folds, opens, period, id_col)
+    return TimePlan(n, folds, opens, period, id_col, hashed)
 
 
 def with_folds(df: DataFrame, plan: TimePlan) -> DataFrame:

@@ -143,6 +143,8 @@ def drift_of_batches(
     """A foreachBatch function that compares each batch with frozen reference bins and logs psi."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         psi = psi_numeric(reference, batch, features, edges=edges)
         psi.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
             f"{path}/batch_id={batch_id}"

@@ -225,7 +225,7 @@ def test_final_fit_and_permutation(signal):
     fitted = O.fit_final(train, test, plan, FEATURES, "is_canceled", quick)
     assert fitted.metrics["roc_auc"] > 0.8
     assert 0.05 <= fitted.metrics["best_threshold"] <= 0.95
-    loss = O.permutation_importance(fitted.model, test, "id", ["strong", "noise"], "is_canceled").collect()
+    loss = O.permutation_importance(fitted.model, test, "id", FEATURES, "is_canceled", shuffle=["strong", "noise"]).collect()
     assert loss[0].feature == "strong" and loss[0].ap_loss > 0.1
 
 
