@@ -145,6 +145,7 @@ def apply_levels(
 ) -> DataFrame:
     """Add `{column}{suffix}` from the state; unseen levels get the default."""
     kept = list(df.columns)
+    sizes = {r["feature"]: r["count"] for r in state.groupBy("feature").count().collect()}
     for c in columns:
         out = f"{c}{suffix}"
         one = state.where(F.col("feature") == c).select(
@@ -155,6 +156,7 @@ def apply_levels(
             one,
             ["_level", *also_on],
             broadcast_rows=broadcast_rows,
+            state_rows=sizes.get(c, 0),
         )
         kept.append(out)
         df = df.withColumn(out, F.coalesce(F.col(out), F.lit(default).cast("double"))).select(*kept)

@@ -19,16 +19,20 @@ def attach(
     weight: str = "n",
     broadcast_rows: int = BROADCAST_ROWS,
     hot_share: int = HOT_SHARE,
+    state_rows: int | None = None,
 ) -> DataFrame:
     """Left join of rows to a settled state table that holds one row per key and its row count.
 
     A state of at most `broadcast_rows` rows is broadcast. A larger one is joined by shuffle,
     except for its hot keys: there are at most `hot_share` of them by definition, so those are
     broadcast, and the rows they serve get a scattering salt that keeps them off any one task.
+    `state_rows` saves counting a state whose size the caller has just counted.
     """
     on = list(on)
     values = [c for c in state.columns if c not in on and c != weight]
-    if state.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if state_rows is None:
+        state_rows = state.limit(broadcast_rows + 1).count()
+    if state_rows <= broadcast_rows:
         return df.join(F.broadcast(state.select(*on, *values)), on, "left")
 
     total = state.agg(F.sum(weight)).first()[0]

@@ -87,23 +87,20 @@ def threshold_counts(
     )
     packed = cells.agg(F.collect_list(F.struct("reached", "pos", "neg")).alias("cells"))
 
-    def summed(field: str, i: int, at_least: bool) -> Column:
-        hits = F.filter(
-            "cells", lambda c: c["reached"] > i if at_least else c["reached"] <= i
-        )
+    def summed(field: str, at_least: bool) -> Column:
+        i = F.col("i")
+        hits = F.filter("cells", lambda c: c["reached"] > i if at_least else c["reached"] <= i)
         return F.aggregate(hits, F.lit(0).cast("bigint"), lambda acc, c: acc + c[field])
 
-    rows = [
-        F.struct(
-            F.lit(t).alias("threshold"),
-            summed("pos", i, True).alias("tp"),
-            summed("neg", i, True).alias("fp"),
-            summed("pos", i, False).alias("fn"),
-            summed("neg", i, False).alias("tn"),
-        )
-        for i, t in enumerate(thresholds)
-    ]
-    return packed.select(F.inline(F.array(*rows)))
+    levels = F.array(*[F.lit(float(t)) for t in thresholds])
+    steps = packed.select("cells", F.posexplode(levels).alias("i", "threshold"))
+    return steps.select(
+        "threshold",
+        summed("pos", True).alias("tp"),
+        summed("neg", True).alias("fp"),
+        summed("pos", False).alias("fn"),
+        summed("neg", False).alias("tn"),
+    )
 
 
 def best_threshold_f1(

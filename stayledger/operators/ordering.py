@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import as_col
 
 SORT_LIMIT = 2_000_000  # rows one task may sort when selecting a rank
-GRID = 512  # sketch points per column
+GRID = 1024  # sketch points per column
 SKETCH_ACCURACY = 20_000
 MAX_ROUNDS = 24
 
@@ -58,37 +58,34 @@ def order_statistics(
     columns: Mapping[str, Column],
     ranks_of,
     limit: int = SORT_LIMIT,
+    counts: Mapping[str, int] | None = None,
 ) -> tuple[dict[str, int], dict[str, dict[int, object]]]:
     """Exact values at 0-based ranks of each column's non-null values.
 
     `ranks_of(name, n)` names the ranks once the count n is known. Returns the counts and
-    {name: {rank: value}}. The driver holds only sketch points and one value per rank.
+    {name: {rank: value}}. The driver holds only sketch points and one value per rank. Counts the
+    caller already knows save the counting pass.
     """
     names = list(columns)
     if not names:
         return {}, {}
     data = df.select(*[columns[n].alias(n) for n in names])
 
-    first = data.agg(
-        *[F.count(n).alias(f"n_{i}") for i, n in enumerate(names)],
-        *[_sketch(F.col(n)).alias(f"s_{i}") for i, n in enumerate(names)],
-    ).first()
-    counts = {n: first[f"n_{i}"] for i, n in enumerate(names)}
-
-    ready: list[Bracket] = []
+    if counts is None:
+        sizes = data.agg(*[F.count(n).alias(f"n_{i}") for i, n in enumerate(names)]).first()
+        counts = {n: sizes[f"n_{i}"] for i, n in enumerate(names)}
+    asked = {n: sorted({r for r in ranks_of(n, counts[n]) if 0 <= r < counts[n]}) for n in names}
+    large = [n for n in names if asked[n] and counts[n] > limit]
+    ready = [Bracket(n, asked[n], inside=counts[n]) for n in names if asked[n] and n not in large]
     pending: list[Bracket] = []
-    for i, name in enumerate(names):
-        n = counts[name]
-        ranks = sorted({r for r in ranks_of(name, n) if 0 <= r < n})
-        if not ranks:
-            continue
-        if n <= limit:
-            ready.append(Bracket(name, ranks, inside=n))
-            continue
-        points = first[f"s_{i}"]
-        for r in ranks:
-            g = int(r / max(n - 1, 1) * GRID)
-            pending.append(Bracket(name, [r], points[max(g - 1, 0)], points[min(g + 2, GRID)]))
+    if large:
+        drawn = data.agg(*[_sketch(F.col(n)).alias(f"s_{i}") for i, n in enumerate(large)]).first()
+        for i, name in enumerate(large):
+            points = drawn[f"s_{i}"]
+            for r in asked[name]:
+                g = int(r / (counts[name] - 1) * GRID)
+                lo, hi = points[max(g - 1, 0)], points[min(g + 2, GRID)]
+                pending.append(Bracket(name, [r], lo, hi))
 
     for _ in range(MAX_ROUNDS):
         if not pending:

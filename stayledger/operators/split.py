@@ -79,11 +79,13 @@ def _class_hash_cuts(
     df: DataFrame, target: str, id_col: str, seed: int | str, ranks_of, limit: int
 ) -> dict:
     """{class: (rows, sorted hash cuts)} for ranks within each class of the target."""
-    classes = [r[0] for r in df.select(target).distinct().orderBy(target).collect()]
+    sizes = df.groupBy(target).agg(F.count(id_col).alias("n")).orderBy(target).collect()
+    classes = [r for r in sizes if r[target] is not None]
     key = hash_rank_key(id_col, seed)
-    columns = {f"c{i}": F.when(F.col(target) == c, key) for i, c in enumerate(classes)}
-    counts, found = order_statistics(df, columns, lambda _name, n: ranks_of(n), limit)
-    return {c: (counts[f"c{i}"], found[f"c{i}"]) for i, c in enumerate(classes)}
+    columns = {f"c{i}": F.when(F.col(target) == r[target], key) for i, r in enumerate(classes)}
+    known = {f"c{i}": r["n"] for i, r in enumerate(classes)}
+    _, found = order_statistics(df, columns, lambda _name, n: ranks_of(n), limit, known)
+    return {r[target]: (r["n"], found[f"c{i}"]) for i, r in enumerate(classes)}
 
 
 def stratified_split(
@@ -233,18 +235,20 @@ def plan_time_folds(
 
     inside: dict[str, list[int]] = {}
     where: dict[str, tuple] = {}
+    known: dict[str, int] = {}
     seen = 0
     for value, size in counts:
         local = [p - seen for p in positions if seen <= p < seen + size]
         if local:
             inside[f"p{value}"] = local
             where[f"p{value}"] = (value, seen)
+            known[f"p{value}"] = size
         seen += size
     columns = {
         name: F.when(F.col(period) == F.lit(value), key)
         for name, (value, _) in where.items()
     }
-    _, found = order_statistics(df, columns, lambda name, _n: inside[name], limit)
+    _, found = order_statistics(df, columns, lambda name, _n: inside[name], limit, known)
     opens = {
         where[name][1] + rank: (where[name][0], row_id)
         for name, ranks in found.items()

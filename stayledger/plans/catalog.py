@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     queries_profile,
     queries_split,
     queries_stream,
+    queries_training,
 )
 from .registry import ORACLES, QUERIES
 

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import drift as D
 from ..operators import monitoring as M
 from ..operators.split import time_split
-from ..session import stage
-from ..sources.tables import bookings
+from ..sources.tables import staged_bookings
 from .queries_features import SCORED, scored
 from .registry import BOOKINGS, SPLIT, query, rounded, sql_over
 
@@ -70,8 +69,8 @@ report AS (SELECT feature, CASE WHEN d IS NULL THEN 'categorical' ELSE 'numeric'
 
 
 def sides(spark, sf):
-    b = bookings(spark, sf, ["booking_id", "period", "is_canceled", *NUMERIC, *CATEGORICAL])
-    train, test, _ = time_split(stage(b, "drift-input"))
+    b = staged_bookings(spark, sf, ["booking_id", "period", "is_canceled", *NUMERIC, *CATEGORICAL])
+    train, test, _ = time_split(b)
     return train, test
 
 

@@ -8,7 +8,7 @@ from ..operators import explain as X
 from ..operators import metrics as M
 from ..operators import selection as S
 from ..operators.split import plan_time_folds, time_split
-from ..sources.tables import bookings
+from ..sources.tables import bookings, staged_bookings
 from .queries_features import SCORED, scored
 from .registry import BOOKINGS, SPLIT, query, rounded, sql_over
 
@@ -207,7 +207,7 @@ _F = "f AS (" + " UNION ALL ".join(_f_sql(c) for c in _RANKED) + ")"
 
 
 def _ranked(spark, sf):
-    return bookings(spark, sf, [*_RANKED, LABEL])
+    return staged_bookings(spark, sf, [*_RANKED, LABEL])
 
 
 @query(

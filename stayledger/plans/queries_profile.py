@@ -10,7 +10,7 @@ from ..operators.cleaning import clean
 from ..operators.features import lead_buckets
 from ..operators.imbalance import class_weights, pos_weight
 from ..schema import Roles
-from ..sources.tables import bookings
+from ..sources.tables import bookings, staged_bookings
 from .queries_cleaning import CEILING, CLEAN
 from .queries_features import BUCKET
 from .registry import BOOKINGS, query, rounded, sql_over
@@ -69,7 +69,7 @@ def _summary_sql(column: str, extended: bool) -> str:
     sql_over(BOOKINGS, select=" UNION ALL ".join(_summary_sql(c, False) for c in NUMERIC)),
 )
 def _numeric_summary(spark, sf):
-    return rounded(P.numeric_summary(bookings(spark, sf, NUMERIC), NUMERIC))
+    return rounded(P.numeric_summary(staged_bookings(spark, sf, NUMERIC), NUMERIC))
 
 
 @query(
@@ -78,7 +78,7 @@ def _numeric_summary(spark, sf):
 )
 def _numeric_summary_ext(spark, sf):
     fractions = {"p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p99": 0.99}
-    return rounded(P.numeric_summary(bookings(spark, sf, NUMERIC), NUMERIC, fractions, kurtosis=True))
+    return rounded(P.numeric_summary(staged_bookings(spark, sf, NUMERIC), NUMERIC, fractions, kurtosis=True))
 
 
 @query(
@@ -256,7 +256,7 @@ def _seasonality(spark, sf):
     ),
 )
 def _iqr_outliers(spark, sf):
-    return rounded(P.iqr_outliers(bookings(spark, sf, NUMERIC), NUMERIC))
+    return rounded(P.iqr_outliers(staged_bookings(spark, sf, NUMERIC), NUMERIC))
 
 
 @query(
@@ -309,7 +309,7 @@ def _histogram_by_class(spark, sf):
     ),
 )
 def _box_stats(spark, sf):
-    b = bookings(spark, sf, ["lead_time", "price", "is_canceled"])
+    b = staged_bookings(spark, sf, ["lead_time", "price", "is_canceled"])
     return rounded(P.box_stats(b, ["lead_time", "price"], "is_canceled", [0, 1]))
 
 

@@ -11,7 +11,7 @@ from ..operators.features import engineer
 from ..operators.ordering import row_positions
 from ..schema import Roles
 from ..session import stage
-from ..sources.tables import bookings
+from ..sources.tables import bookings, staged_bookings
 from .queries_features import ENGINEERED, FEATURE_INPUT
 from .queries_features import ROLES as FEATURE_ROLES
 from .registry import BOOKINGS, SPLIT, hash_key, query, rounded, sql_over
@@ -226,7 +226,7 @@ _ENC_INPUT = ["booking_id", "period", "is_canceled", *HIGH_CARD]
     ),
 )
 def _frequency_encode(spark, sf):
-    train, test, _ = T.time_split(bookings(spark, sf, _ENC_INPUT))
+    train, test, _ = T.time_split(staged_bookings(spark, sf, _ENC_INPUT))
     state = E.fit_frequency(train, HIGH_CARD)
     coded = E.apply_levels(test, state, HIGH_CARD, "_freq", 0.0)
     return rounded(coded.drop("period", "is_canceled", *HIGH_CARD))
@@ -243,7 +243,7 @@ def _frequency_encode(spark, sf):
     ),
 )
 def _frequency_state(spark, sf):
-    train, _, _ = T.time_split(bookings(spark, sf, _ENC_INPUT))
+    train, _, _ = T.time_split(staged_bookings(spark, sf, _ENC_INPUT))
     return rounded(E.fit_frequency(train, HIGH_CARD))
 
 
@@ -258,7 +258,7 @@ def _frequency_state(spark, sf):
     ),
 )
 def _target_encode(spark, sf):
-    train, _, _ = T.time_split(bookings(spark, sf, _ENC_INPUT))
+    train, _, _ = T.time_split(staged_bookings(spark, sf, _ENC_INPUT))
     return rounded(E.fit_target_means(train, HIGH_CARD, "is_canceled", M)[0])
 
 
@@ -274,7 +274,7 @@ def _target_encode(spark, sf):
     ),
 )
 def _target_encode_apply(spark, sf):
-    train, test, _ = T.time_split(bookings(spark, sf, _ENC_INPUT))
+    train, test, _ = T.time_split(staged_bookings(spark, sf, _ENC_INPUT))
     state, prior = E.fit_target_means(train, HIGH_CARD, "is_canceled", M)
     coded = E.apply_levels(test, state, HIGH_CARD, "_te", prior)
     return rounded(coded.drop("period", "is_canceled", *HIGH_CARD))
@@ -293,7 +293,7 @@ def _target_encode_apply(spark, sf):
     ),
 )
 def _target_encode_oof(spark, sf):
-    train, _, _ = T.time_split(bookings(spark, sf, _ENC_INPUT))
+    train, _, _ = T.time_split(staged_bookings(spark, sf, _ENC_INPUT))
     folded = T.stratified_folds(train, "is_canceled", "booking_id", FOLDS)
     state = E.fit_target_means_out_of_fold(folded, HIGH_CARD, "is_canceled", k=FOLDS, m=M)
     coded = E.apply_levels(folded, state, HIGH_CARD, "_te", None, also_on=["fold"])
@@ -328,7 +328,7 @@ def _one_hot(spark, sf):
 
 # --- the encoded and scaled feature table ------------------------------------------------------------
 
-_RAW = [
+BOOKING_INPUT = [
     "booking_id",
     "is_canceled",
     "period",
@@ -340,7 +340,7 @@ _RAW = [
 
 
 def encoded_train_test(spark, sf):
-    b = engineer(bookings(spark, sf, list(dict.fromkeys(_RAW))), FEATURE_ROLES)
+    b = engineer(bookings(spark, sf, BOOKING_INPUT), FEATURE_ROLES)
     train, test, _ = T.time_split(stage(b, "featured"))
     return E.encode_train_test(train.drop("period"), test.drop("period"), ROLES, FOLDS, M)
 
@@ -435,7 +435,7 @@ def _scaled_sql(kind: str) -> str:
 
 def _scaled(kind):
     def run(spark, sf):
-        train, test, _ = T.time_split(bookings(spark, sf, ["booking_id", "period", *_SCALED]))
+        train, test, _ = T.time_split(staged_bookings(spark, sf, ["booking_id", "period", *_SCALED]))
         return rounded(S.fit_scaler(train, _SCALED, kind).apply(test).drop("period"))
 
     return run
@@ -492,7 +492,7 @@ _CONTINUOUS_INPUT = ("lead_time", "adr", "price", "booking_changes", "is_repeate
     ),
 )
 def _scale_train_test(spark, sf):
-    b = bookings(spark, sf, ["booking_id", "period", "is_canceled", *_CONTINUOUS_INPUT])
+    b = staged_bookings(spark, sf, ["booking_id", "period", "is_canceled", *_CONTINUOUS_INPUT])
     train, test, _ = T.time_split(b)
     train, test, _ = S.scale_train_test(
         train.drop("period"), test.drop("period"), "is_canceled", skip=["booking_id"]

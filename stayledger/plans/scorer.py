@@ -31,11 +31,14 @@ class BookingScorer:
     model: Model
 
     def feature_rows(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-        """Raw bookings as the model's columns: engineered, encoded, scaled and aligned."""
+        """Raw bookings as the model's columns: engineered, encoded, scaled and aligned.
+
+        A missing number counts as the train center, which is 0 after scaling.
+        """
         kept = {f"_keep_{c}": F.col(c) for c in keep}
         coded = self.encoders.apply(engineer(df.withColumns(kept) if kept else df, self.roles))
         scaled = self.scaler.apply(coded)
-        aligned = align_schema(scaled, [*kept, *self.features])
+        aligned = align_schema(scaled, [*kept, *self.features]).fillna(0, self.features)
         return aligned.withColumnsRenamed({k: k.removeprefix("_keep_") for k in kept})
 
     def transform(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -115,9 +118,8 @@ def prepare_tables(
     scaler = fit_scaler(
         train_e, columns_to_scale(train_e, roles.target, skip=list(not_features)), scaler_kind
     )
-    return PreparedTables(
-        scaler.apply(train_e), scaler.apply(test_e), encoders, scaler, features
-    )
+    train_s, test_s = (scaler.apply(side).fillna(0, features) for side in (train_e, test_e))
+    return PreparedTables(train_s, test_s, encoders, scaler, features)
 
 
 def fit_scorer(

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import floor_at, flag, month_name, period_of
+from ..functions.scalar import flag, floor_at, month_name, period_of
+from ..session import stage
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -143,3 +144,10 @@ def bookings(
     return df.select(
         *[(plain[c]() if c in plain else _FROM_LINES[c][1]()).alias(c) for c in wanted]
     )
+
+
+def staged_bookings(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] = BOOKING_COLUMNS
+) -> DataFrame:
+    """Bookings joined once and written as a table, for work that reads them several times."""
+    return stage(bookings(spark, sf_dir, columns), "bookings")
