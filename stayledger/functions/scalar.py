@@ -118,6 +118,18 @@ def level_key(c: Column | str) -> Column:
     return F.coalesce(as_col(c).cast("string"), F.lit(NULL_LEVEL))
 
 
+def utc_instant(wall: Column | str) -> Column:
+    """Zone-less time read as UTC, whatever the session's zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, as_col(wall)))
+
+
+def utc_wall(instant: Column | str) -> Column:
+    """The UTC wall-clock time of an instant, without zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(as_col(instant)), epoch)
+
+
 def nan_to_null(c: Column | str) -> Column:
     c = as_col(c)
     return F.when(~F.isnan(c), c)

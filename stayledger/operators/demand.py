@@ -106,17 +106,20 @@ def seasonal_naive(
     return series.withColumn(out, F.lag(target, SEASON).over(_history(period, keys)))
 
 
+def _errors(actual: str, forecast: str) -> tuple[Column, Column]:
+    gap = F.col(actual) - F.col(forecast)
+    share = F.abs(gap / (F.col(actual) + F.lit(1e-9)))
+    return F.avg(F.abs(gap)), F.avg(share) * 100
+
+
 def forecast_errors(
     df: DataFrame, actual: str, forecast: str, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Mean absolute error and mean absolute percentage error where both values exist."""
-    gap = F.col(actual) - F.col(forecast)
-    share = F.abs(gap / (F.col(actual) + F.lit(1e-9)))
+    mae, mape = _errors(actual, forecast)
     usable = df.where(F.col(actual).isNotNull() & F.col(forecast).isNotNull())
     return usable.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_points"),
-        F.avg(F.abs(gap)).alias("mae"),
-        (F.avg(share) * 100).alias("mape"),
+        F.count(F.lit(1)).alias("n_points"), mae.alias("mae"), mape.alias("mape")
     )
 
 
@@ -185,15 +188,15 @@ def backtest_model(
         parts = one if parts is None else parts.unionByName(one)
     if parts is None:
         raise ValueError("backtest: no period has enough history")
-    parts = settle(parts)
-    group = list(keys)
-    model_err = forecast_errors(parts, target, "prediction", group).select(
-        *group, "n_points", F.col("mae").alias("model_mae"), F.col("mape").alias("model_mape")
-    )
-    naive_err = forecast_errors(parts, target, f"lag_{SEASON}", group).select(
-        *group, F.col("mae").alias("naive_mae"), F.col("mape").alias("naive_mape")
+    model_mae, model_mape = _errors(target, "prediction")
+    naive_mae, naive_mape = _errors(target, f"lag_{SEASON}")
+    both = parts.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_points"),
+        model_mae.alias("model_mae"),
+        model_mape.alias("model_mape"),
+        naive_mae.alias("naive_mae"),
+        naive_mape.alias("naive_mape"),
     )
-    both = model_err.join(naive_err, group) if group else model_err.join(naive_err, F.lit(True))
     return both.withColumn("model_beats_naive", F.col("model_mae") < F.col("naive_mae"))
 
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import hash_rank_key
 from ..session import stage
 from .ordering import range_splits, with_range
+from .sampling import sample_fraction
 
 
 def class_weights(df: DataFrame, target: str) -> DataFrame:
@@ -52,10 +55,9 @@ def near_neighbours(
 
     Each random direction orders the rows; close rows stay close in that order, so the REACH rows
     on either side are candidates, and the k closest of all directions' candidates are kept. Work
-    grows linearly with the rows, also where many rows coincide.
+    grows linearly with the rows. A range that equal rows made too large is split by hash: among
+    equal rows any are the nearest.
     """
-    import numpy as np
-
     rng = np.random.default_rng(seed)
     vector = F.array(*[F.col(f).cast("double") for f in features])
     base = rows.select(F.col(id_col).alias("id"), vector.alias("x"))
@@ -68,7 +70,12 @@ def near_neighbours(
         projected = base.withColumn("at", along)
         splits = range_splits(projected, {"at": F.col("at")})["at"]
         cut = with_range(projected, "at", splits, "_range")
-        order = Window.partitionBy("_range").orderBy("at", "id")
+        sizes = {r["_range"]: r["count"] for r in cut.groupBy("_range").count().collect()}
+        fair = 2 * sum(sizes.values()) / max(len(splits) + 1, 1) + 2 * REACH
+        pieces = [math.ceil(sizes.get(i, 1) / fair) for i in range(len(splits) + 1)]
+        piece = F.pmod(F.xxhash64("id"), F.get(F.array(*map(F.lit, pieces)), F.col("_range")))
+        cut = cut.withColumn("_piece", piece)
+        order = Window.partitionBy("_range", "_piece").orderBy("at", "id")
         mate = F.struct("id", "x")
         around = F.array(
             *[F.lag(mate, d).over(order) for d in range(1, REACH + 1)],
@@ -127,8 +134,6 @@ def oversample_minority(
     near = stage(near_neighbours(minority_rows, id_col, features, k, seed), "neighbours")
     whole, rest = divmod(needed, few)
     # The `rest` rows with the smallest hashes make one synthetic row more than the others.
-    from .sampling import sample_fraction
-
     extra = (
         sample_fraction(near, "id", rest / few, f"extra-{seed}")
         .select("id", F.lit(1).alias("more"))

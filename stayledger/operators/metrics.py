@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import interior_bin, total
+from ..session import stage
 from .ordering import exact_quantiles, range_splits, running_totals, with_range
 
 # 0.05, 0.10, ..., 0.95.
@@ -133,14 +134,20 @@ def cost_curve(
     )
 
 
-def _kept_indices(n: Column, limit: int = MAX_CURVE_POINTS) -> Column:
+def _kept_indices(n: int, limit: int) -> list[int]:
     """Evenly spaced point numbers 0..n-1, at most `limit` of them, first and last included."""
-    m = F.least(n, F.lit(limit)).cast("int")
-    step = F.when(m > 1, (n - 1) / (m - 1)).otherwise(F.lit(0.0))
-    return F.transform(
-        F.sequence(F.lit(0), m - 1),
-        lambda j: F.when(j == m - 1, n - 1).otherwise(F.floor(j * step)).cast("bigint"),
-    )
+    m = min(n, limit)
+    if m < 2:
+        return list(range(m))
+    step = (n - 1) / (m - 1)
+    return sorted({*(int(j * step) for j in range(m - 1)), n - 1})
+
+
+def _staged_groups(df: DataFrame, label: str, score: str) -> tuple[DataFrame, int, int, int]:
+    """Score groups written once, with the numbers of positives, negatives and groups."""
+    groups = stage(score_groups(df, label, score), "score-groups")
+    row = groups.agg(F.sum("pos"), F.sum("neg"), F.count(F.lit(1))).first()
+    return groups, row[0] or 0, row[1] or 0, row[2]
 
 
 def roc_points(
@@ -150,7 +157,7 @@ def roc_points(
 
     Points in the middle of a straight stretch are left out before thinning.
     """
-    groups = score_groups(df, label, score)
+    groups, p_all, n_all, _ = _staged_groups(df, label, score)
     curve = running_totals(groups, score, ["pos", "neg"], descending=True)
     counts = F.struct("pos", "neg")
     heads = groups.groupBy("_range").agg(F.max_by(counts, score).alias("head"))
@@ -167,28 +174,22 @@ def roc_points(
         "kept", (first | following.isNull() | (counts != following)).cast("bigint")
     )
     numbered = running_totals(bends, score, ["kept"], descending=True).where("kept = 1")
-    totals = groups.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    area = curve.agg(F.sum(F.col("neg") * (F.col("cum_pos").cast("double") - F.col("pos") / 2)))
-    sizes = numbered.agg((F.count(F.lit(1)) + 1).alias("n"))
-    wanted = sizes.select(_kept_indices(F.col("n"), limit)).scalar()
-    p_all, n_all = totals.select("P").scalar(), totals.select("N").scalar()
-    auc = F.try_divide(F.try_divide(area.scalar(), p_all), n_all)
-    points = numbered.select(
-        F.col("cum_kept").cast("bigint").alias("point"), "cum_neg", "cum_pos"
-    )
-    origin = totals.select(
-        F.lit(0).cast("bigint").alias("point"),
-        F.lit(0).cast("bigint").alias("cum_neg"),
-        F.lit(0).cast("bigint").alias("cum_pos"),
-    )
+    points = stage(
+        numbered.select(F.col("cum_kept").cast("bigint").alias("point"), "cum_neg", "cum_pos"),
+        "roc-points",
+    )
+    wanted = _kept_indices(points.count() + 1, limit)
+    won = curve.agg(F.sum(F.col("neg") * (F.col("cum_pos").cast("double") - F.col("pos") / 2)))
+    auc = (won.first()[0] or 0.0) / p_all / n_all if p_all and n_all else None
+    origin = df.sparkSession.createDataFrame([(0, 0, 0)], "point bigint, cum_neg bigint, cum_pos bigint")
     return (
         origin.unionByName(points)
-        .where(F.array_contains(wanted, F.col("point")))
+        .where(F.col("point").isin(wanted))
         .select(
             "point",
-            F.try_divide(F.col("cum_neg").cast("double"), n_all).alias("fpr"),
-            F.try_divide(F.col("cum_pos").cast("double"), p_all).alias("tpr"),
-            auc.alias("auc"),
+            F.try_divide(F.col("cum_neg").cast("double"), F.lit(n_all)).alias("fpr"),
+            F.try_divide(F.col("cum_pos").cast("double"), F.lit(p_all)).alias("tpr"),
+            F.lit(auc).cast("double").alias("auc"),
         )
     )
 
@@ -197,27 +198,22 @@ def pr_points(
     df: DataFrame, label: str, score: str, limit: int = MAX_CURVE_POINTS
 ) -> DataFrame:
     """Precision-recall curve from the lowest score upwards, closed by (1, 0), thinned likewise."""
-    groups = score_groups(df, label, score).withColumn("one", F.lit(1).cast("bigint"))
-    curve = running_totals(groups, score, ["pos", "neg", "one"], descending=True)
-    totals = groups.agg(
-        F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("G")
-    )
-    g_all = totals.select("G").scalar()
-    p_all = totals.select("P").scalar()
-    wanted = totals.select(_kept_indices(F.col("G") + 1, limit)).scalar()
-    baseline = totals.select(F.try_divide(F.col("P").cast("double"), F.col("P") + F.col("N"))).scalar()
+    groups, p_all, n_all, g_all = _staged_groups(df, label, score)
+    ones = groups.withColumn("one", F.lit(1).cast("bigint"))
+    curve = running_totals(ones, score, ["pos", "neg", "one"], descending=True)
     points = curve.select(
-        (g_all - F.col("cum_one")).alias("point"),
+        (F.lit(g_all) - F.col("cum_one")).cast("bigint").alias("point"),
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
-        F.try_divide(F.col("cum_pos").cast("double"), p_all).alias("recall"),
+        F.try_divide(F.col("cum_pos").cast("double"), F.lit(p_all)).alias("recall"),
     )
-    closing = totals.select(
-        F.col("G").alias("point"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
+    closing = df.sparkSession.createDataFrame(
+        [(g_all, 1.0, 0.0)], "point bigint, precision double, recall double"
     )
+    baseline = p_all / (p_all + n_all) if p_all + n_all else None
     return (
         points.unionByName(closing)
-        .where(F.array_contains(wanted, F.col("point")))
-        .withColumn("baseline", baseline)
+        .where(F.col("point").isin(_kept_indices(g_all + 1, limit)))
+        .withColumn("baseline", F.lit(baseline).cast("double"))
     )
 
 

@@ -112,7 +112,11 @@ def price_for_period(
     Demand net of cancellations is grossed up first, so that cancellations count once.
     `ref_price` defaults to a `ref_price` column of the forecasts.
     """
-    joined = forecasts.join(cancel_rates, list(keys)) if keys else forecasts.join(cancel_rates)
+    if keys:
+        joined = forecasts.join(cancel_rates, list(keys))
+    else:  # a single portfolio rate
+        rate = cancel_rates.first()["base_cancel"]
+        joined = forecasts.withColumn("base_cancel", F.lit(rate).cast("double"))
     demand = F.col("forecast")
     if demand_is_net:
         demand = F.try_divide(demand, F.lit(1.0) - F.col("base_cancel"))

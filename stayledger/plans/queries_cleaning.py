@@ -11,7 +11,7 @@ from ..operators import sampling as S
 from ..operators.split import time_split
 from ..schema import Roles
 from ..sources.files import scan_profile
-from ..sources.tables import bookings, table
+from ..sources.tables import BOOKING_COLUMNS, bookings, table
 from .registry import BOOKINGS, SPLIT, hash_key, query, sql_over
 
 ROLES = Roles()
@@ -231,8 +231,11 @@ def _clean_audit(spark, sf):
     sql_over(
         BOOKINGS,
         CLEAN,
-        select="""SELECT 'country' AS column_name, count(*) FILTER (WHERE country IS NULL) AS n_null
-          FROM cleaned""",
+        select=" UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) AS n_null FROM cleaned WHERE {c} IS NULL "
+            "HAVING count(*) > 0"
+            for c in (*BOOKING_COLUMNS[:-1], "agent_missing", "company_missing")
+        ),
     ),
 )
 def _clean_remaining_nulls(spark, sf):

@@ -149,8 +149,9 @@ _GAPS = ("lead_time", "agent", "company", "children", "country", "customer_type"
         BOOKINGS,
         select=" UNION ALL ".join(
             f"""SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_missing,
-            round(count(*) FILTER (WHERE {c} IS NULL) / count(*), 6) AS fraction FROM bookings"""
-            for c in _GAPS
+            round(count(*) FILTER (WHERE {c} IS NULL) / count(*), 6) AS fraction FROM bookings
+            HAVING count(*) FILTER (WHERE {c} IS NULL) > 0"""
+            for c in (*_GAPS, "hotel", "adr")
         ),
     ),
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import flag, sigmoid
+from ..functions.scalar import flag, sigmoid, utc_instant, utc_wall
 from ..operators.ordering import order_statistics
 from ..schema import ACTIVITY_EVENT
 from ..session import work_path
@@ -114,19 +114,24 @@ def _latency_percentiles_recent(spark, sf):
 
 
 _WINDOWS = """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n,
-  count(*) FILTER (WHERE prediction = 1) AS n_positive, round(avg(probability), 6) AS mean_probability
+  count(*) FILTER (WHERE prediction = 1) AS n_positive, round(sum(probability), 4) AS sum_probability
   FROM scored {closed} GROUP BY ALL"""
 
 
+def _summed(df):
+    """Sums of four-digit probabilities compare exactly where their means may end in half a digit."""
+    whole = F.round(F.col("mean_probability") * F.col("n"), 4)
+    return rounded(df.withColumn("sum_probability", whole).drop("mean_probability"))
+
+
 def _day(df):
-    start = F.col("window_start").cast("timestamp_ntz")
-    return rounded(df.withColumn("window_start", start).drop("window_end"))
+    return _summed(df.withColumn("window_start", utc_wall("window_start")).drop("window_end"))
 
 
 @query("event_window_metrics", sql_over(SCORED, select=_WINDOWS.format(closed="")))
 def _event_window_metrics(spark, sf):
     scored = _scored(table(spark, sf, "events"), keep=("ts", "event_type"))
-    timed = scored.withColumn("ts", F.col("ts").cast("timestamp"))
+    timed = scored.withColumn("ts", utc_instant("ts"))
     return _day(J.window_metrics(timed, "ts", "1 day", keys=["event_type"]))
 
 
@@ -157,21 +162,16 @@ def _stream_event_windows(spark, sf):
         """numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
             FROM marked)""",
         select="""SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
-          count(*) AS n, round(avg(probability), 6) AS mean_probability
+          count(*) AS n, round(sum(probability), 4) AS sum_probability
           FROM numbered GROUP BY user_id, s""",
     ),
 )
 def _session_metrics(spark, sf):
     scored = _scored(table(spark, sf, "events"), keep=("ts", "user_id"))
-    timed = scored.withColumn("ts", F.col("ts").cast("timestamp"))
-    sessions = J.session_metrics(timed, "ts", "user_id", "30 minutes")
-    return rounded(
-        sessions.withColumns(
-            {
-                c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")
-            }
-        )
-    )
+    timed = scored.withColumn("ts", utc_instant("ts"))
+    sessions = J.session_metrics(timed, "ts", "user_id", 30)
+    walls = {c: utc_wall(c) for c in ("session_start", "session_end")}
+    return _summed(sessions.withColumns(walls))
 
 
 @query(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.scalar import utc_instant
 from ..operators.drift import psi_numeric
 from ..session import work_path
 
@@ -183,24 +184,37 @@ def window_metrics(
     )
 
 
-def session_metrics(scored: DataFrame, event_time: str, key: str, gap: str = "30 minutes") -> DataFrame:
-    """Rows per activity session of a key; a gap closes the session."""
-    return (
-        scored.groupBy(F.session_window(event_time, gap).alias("w"), key)
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("probability").alias("mean_probability"))
-        .select(
-            key,
-            F.col("w.start").alias("session_start"),
-            F.col("w.end").alias("session_end"),
-            "n",
-            "mean_probability",
-        )
+def session_metrics(
+    scored: DataFrame, event_time: str, key: str, gap_minutes: int = 30
+) -> DataFrame:
+    """Rows per activity session of a key; a pause of `gap_minutes` closes the session.
+
+    Rows are first folded per key and minute. Rows of one minute belong to one session, so a hot
+    key is left with one row per minute before its minutes are put in order.
+    """
+    minute = F.floor(F.unix_micros(event_time) / 60_000_000)
+    folded = scored.groupBy(key, minute.alias("_minute")).agg(
+        F.min(event_time).alias("_from"),
+        F.max(event_time).alias("_to"),
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("probability").alias("_p"),
     )
+    order = Window.partitionBy(key).orderBy("_minute")
+    pause = F.make_dt_interval(mins=F.lit(gap_minutes))
+    goes_on = F.col("_from") < F.lag("_to").over(order) + pause
+    opens = F.when(goes_on, 0).otherwise(1)
+    marked = folded.withColumn("_opens", opens).withColumn("_session", F.sum("_opens").over(order))
+    return marked.groupBy(key, "_session").agg(
+        F.min("_from").alias("session_start"),
+        (F.max("_to") + pause).alias("session_end"),
+        F.sum("_n").alias("n"),
+        (F.sum("_p") / F.sum("_n")).alias("mean_probability"),
+    ).drop("_session")
 
 
 def with_event_time(df: DataFrame, column: str, lateness: str) -> DataFrame:
-    """Zone-less event times as timestamps, with the allowed lateness."""
-    return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, lateness)
+    """Zone-less event times as instants, with the allowed lateness."""
+    return df.withColumn(column, utc_instant(column)).withWatermark(column, lateness)
 
 
 def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -75,11 +76,15 @@ def main() -> int:
     from __spark_entry__ import oracle_sql, queries
     from stayledger.session import build_session
 
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
     only = sys.argv[1:]
-    spark = build_session("oracle-check", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false",
-    })
+    settings = {
+        "spark.sql.shuffle.partitions": os.environ.get("CHECK_PARTITIONS", "8"),
+        "spark.sql.session.timeZone": os.environ.get("CHECK_ZONE", "UTC"),
+        "spark.driver.memory": "8g",
+        "spark.ui.enabled": "false",
+    }
+    spark = build_session("oracle-check", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     oracles = oracle_sql()
