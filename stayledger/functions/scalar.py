@@ -148,6 +148,9 @@ def threshold_label(p: Column | str, threshold: float) -> Column:
     return (as_col(p) >= F.lit(threshold)).cast("int")
 
 
+HASH_RANGE = float(1 << 52)
+
+
 def hash_rank_key(id_col: Column | str, seed: int | str) -> Column:
     """52-bit pseudo-random number of (id, seed), the same in any engine that has md5.
 

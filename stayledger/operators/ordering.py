@@ -11,6 +11,8 @@ Three tools, all exact:
 
 from __future__ import annotations
 
+import bisect
+import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -22,8 +24,8 @@ from pyspark.sql import functions as F
 from ..functions.scalar import as_col
 
 SORT_LIMIT = 2_000_000  # rows one task may sort when selecting a rank
-GRID = 1024  # sketch points per column
-SKETCH_ACCURACY = 20_000
+GRID = 512  # sketch points per column
+SKETCH_ACCURACY = 4_096  # rank error of a sketch, well below one grid step
 MAX_ROUNDS = 24
 
 
@@ -33,24 +35,119 @@ class Bracket:
 
     name: str
     ranks: list[int]
-    lo: object = None
-    hi: object = None
+    lo: float | None = None
+    hi: float | None = None
     below: int = 0
     inside: int = 0
     outer: tuple = (None, None)
 
-
-def _within(value: Column, lo, hi) -> Column:
-    ok = value.isNotNull()
-    if lo is not None:
-        ok = ok & (value >= F.lit(lo))
-    if hi is not None:
-        ok = ok & (value <= F.lit(hi))
-    return ok
-
-
-def _sketch(value: Column) -> Column:
-    return F.percentile_approx(value, [i / GRID for i in range(GRID + 1)], SKETCH_ACCURACY)
+    def cells(self, edges: Sequence[float]) -> range:
+        """The cells between consecutive edges that make up the bracket."""
+        start = 0 if self.lo is None else bisect.bisect_right(edges, self.lo)
+        stop = len(edges) + 1 if self.hi is None else bisect.bisect_right(edges, _above(self.hi))
+        return range(start, stop)
+
+
+def _above(x: float) -> float:
+    return math.nextafter(x, math.inf)
+
+
+def _edges_by_column(brackets: Sequence[Bracket]) -> dict[str, list[float]]:
+    edges: dict[str, set[float]] = {}
+    for b in brackets:
+        mine = edges.setdefault(b.name, set())
+        mine |= {b.lo} if b.lo is not None else set()
+        mine |= {_above(b.hi)} if b.hi is not None else set()
+    return {name: sorted(e) for name, e in edges.items()}
+
+
+def _long_cells(data: DataFrame, edges: Mapping[str, list[float]], with_value: bool) -> DataFrame:
+    """One row (c, cell[, v]) per column and non-null value; the cell is found by binary search."""
+    for i, (name, cuts) in enumerate(edges.items()):
+        data = with_range(data, name, cuts, f"_cell_{i}")
+    parts = []
+    for i, name in enumerate(edges):
+        cell = F.when(F.col(name).isNotNull(), F.col(f"_cell_{i}")).alias("cell")
+        value = [F.col(name).alias("v")] if with_value else []
+        parts.append(F.struct(F.lit(i).alias("c"), cell, *value))
+    return data.select(F.inline(F.array(*parts))).where("cell is not null")
+
+
+def _count_brackets(data: DataFrame, brackets: Sequence[Bracket]) -> None:
+    """Fill in how many values lie below and inside each bracket, in one pass."""
+    edges = _edges_by_column(brackets)
+    rows = _long_cells(data, edges, False).groupBy("c", "cell").agg(F.count(F.lit(1)).alias("n"))
+    seen = {(r["c"], r["cell"]): r["n"] for r in rows.collect()}  # a few cells per bracket
+    number = {name: i for i, name in enumerate(edges)}
+    for b in brackets:
+        cells = b.cells(edges[b.name])
+        c = number[b.name]
+        b.below = sum(seen.get((c, k), 0) for k in range(cells.start))
+        b.inside = sum(seen.get((c, k), 0) for k in cells)
+
+
+def _narrow_by_sketch(data: DataFrame, brackets: Sequence[Bracket]) -> None:
+    """Tighten each bracket around its rank with a quantile sketch of the values inside it."""
+    spots = ",".join(f"{i / GRID}D" for i in range(GRID + 1))
+    areas = list(dict.fromkeys((b.name, b.lo, b.hi) for b in brackets))
+    values = []
+    for j, (name, lo, hi) in enumerate(areas):
+        d = F.col(name).cast("double")
+        ok = d.isNotNull()
+        ok = ok if lo is None else ok & (d >= F.lit(lo))
+        ok = ok if hi is None else ok & (d <= F.lit(hi))
+        values.append(F.when(ok, d).alias(f"a{j}"))
+    sketches = [
+        F.expr(f"percentile_approx(a{j}, array({spots}), {SKETCH_ACCURACY})").alias(f"a{j}")
+        for j in range(len(areas))
+    ]
+    drawn = data.select(*values).agg(*sketches).first()
+    for b in brackets:
+        points = drawn[f"a{areas.index((b.name, b.lo, b.hi))}"]
+        g = int((b.ranks[0] - b.below) / max(b.inside - 1, 1) * GRID)
+        b.outer = (b.lo, b.hi)
+        b.lo, b.hi = points[max(g - 1, 0)], points[min(g + 2, GRID)]
+
+
+def _select(data: DataFrame, brackets: Sequence[Bracket]) -> dict[tuple[str, int], object]:
+    """Sort the values inside the brackets and pick the asked ranks."""
+    found: dict[tuple[str, int], object] = {}
+    kinds: dict[str, list[Bracket]] = {}
+    for b in brackets:
+        kinds.setdefault(data.schema[b.name].dataType.simpleString(), []).append(b)
+    for group in kinds.values():
+        edges = _edges_by_column(group)
+        holders = [
+            [
+                [j for j, b in enumerate(group) if b.name == name and cell in b.cells(cuts)]
+                for cell in range(len(cuts) + 1)
+            ]
+            for name, cuts in edges.items()
+        ]
+        ints = "array<array<array<int>>>"
+        where = F.from_json(F.lit(json.dumps(holders)), ints)
+        wanted = F.from_json(F.lit(json.dumps([b.ranks for b in group])), "array<array<bigint>>")
+        offset = F.from_json(F.lit(json.dumps([b.below for b in group])), "array<bigint>")
+        running = Window.partitionBy("t").orderBy("v")
+        picked = (
+            _long_cells(data, edges, True)
+            .select(F.explode(F.get(F.get(where, "c"), "cell")).alias("t"), "v")
+            .groupBy("t", "v")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("upto", F.sum("n").over(running) + F.get(offset, "t"))
+            .withColumn(
+                "hits",
+                F.filter(
+                    F.get(wanted, "t"),
+                    lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")),
+                ),
+            )
+            .where(F.size("hits") > 0)
+            .select("t", "v", F.explode("hits").alias("r"))
+        )
+        for row in picked.collect():  # one row per asked rank
+            found[group[row["t"]].name, row["r"]] = row["v"]
+    return found
 
 
 def order_statistics(
@@ -59,111 +156,74 @@ def order_statistics(
     ranks_of,
     limit: int = SORT_LIMIT,
     counts: Mapping[str, int] | None = None,
+    uniform_below: float | None = None,
 ) -> tuple[dict[str, int], dict[str, dict[int, object]]]:
     """Exact values at 0-based ranks of each column's non-null values.
 
     `ranks_of(name, n)` names the ranks once the count n is known. Returns the counts and
     {name: {rank: value}}. The driver holds only sketch points and one value per rank. Counts the
-    caller already knows save the counting pass.
+    caller already knows save the counting pass; `uniform_below` says that values spread evenly over
+    [0, uniform_below), as hashes do, which places the first brackets without a sketch.
     """
     names = list(columns)
     if not names:
         return {}, {}
     data = df.select(*[columns[n].alias(n) for n in names])
-
     if counts is None:
         sizes = data.agg(*[F.count(n).alias(f"n_{i}") for i, n in enumerate(names)]).first()
         counts = {n: sizes[f"n_{i}"] for i, n in enumerate(names)}
-    asked = {n: sorted({r for r in ranks_of(n, counts[n]) if 0 <= r < counts[n]}) for n in names}
-    large = [n for n in names if asked[n] and counts[n] > limit]
-    ready = [Bracket(n, asked[n], inside=counts[n]) for n in names if asked[n] and n not in large]
-    pending: list[Bracket] = []
-    if large:
-        drawn = data.agg(*[_sketch(F.col(n)).alias(f"s_{i}") for i, n in enumerate(large)]).first()
-        for i, name in enumerate(large):
-            points = drawn[f"s_{i}"]
-            for r in asked[name]:
-                g = int(r / (counts[name] - 1) * GRID)
-                lo, hi = points[max(g - 1, 0)], points[min(g + 2, GRID)]
-                pending.append(Bracket(name, [r], lo, hi))
+
+    ready: list[Bracket] = []
+    wide: list[Bracket] = []
+    placed: list[Bracket] = []
+    for name in names:
+        n = counts[name]
+        ranks = sorted({r for r in ranks_of(name, n) if 0 <= r < n})
+        if not ranks:
+            continue
+        if n <= limit:
+            ready.append(Bracket(name, ranks, inside=n))
+        elif uniform_below is not None:
+            reach = 6 * math.sqrt(n)
+            for r in ranks:
+                lo, hi = ((r + side) / n * uniform_below for side in (-reach, reach))
+                placed.append(Bracket(name, [r], lo, hi))
+        else:
+            wide += [Bracket(name, [r], inside=n) for r in ranks]
 
     for _ in range(MAX_ROUNDS):
-        if not pending:
+        if not wide and not placed:
             break
-        checks = []
-        for j, b in enumerate(pending):
-            value = F.col(b.name)
-            below = F.lit(0) if b.lo is None else F.count_if(value < F.lit(b.lo))
-            inner = F.when(_within(value, b.lo, b.hi), value)
-            checks += [
-                below.cast("bigint").alias(f"below_{j}"),
-                F.count(inner).alias(f"inside_{j}"),
-                _sketch(inner).alias(f"s_{j}"),
-            ]
-        seen = data.agg(*checks).first()
+        if wide:
+            _narrow_by_sketch(data, wide)
+        placed += wide
+        wide = []
+        _count_brackets(data, placed)
         again: list[Bracket] = []
-        for j, b in enumerate(pending):
-            b.below, b.inside = seen[f"below_{j}"], seen[f"inside_{j}"]
+        for b in placed:
             r = b.ranks[0]
-            if r < b.below:  # the sketch overshot: step back towards the enclosing bracket
+            if r < b.below:  # overshot: step back into the enclosing bracket
                 again.append(Bracket(b.name, b.ranks, b.outer[0], b.lo, outer=b.outer))
             elif r >= b.below + b.inside:
                 again.append(Bracket(b.name, b.ranks, b.hi, b.outer[1], outer=b.outer))
-            elif b.inside <= limit or (b.lo is not None and b.lo == b.hi):
+            elif b.inside <= limit or b.lo == b.hi:
                 ready.append(b)
             else:
-                points = seen[f"s_{j}"]
-                g = int((r - b.below) / max(b.inside - 1, 1) * GRID)
-                lo, hi = points[max(g - 1, 0)], points[min(g + 2, GRID)]
-                again.append(Bracket(b.name, b.ranks, lo, hi, outer=(b.lo, b.hi)))
-        pending = again
-    for b in pending:  # never narrowed enough: sort all distinct values, still exact
+                wide.append(b)
+        placed = again
+    for b in [*wide, *placed]:  # never narrowed enough: sort all distinct values, still exact
         ready.append(Bracket(b.name, b.ranks, inside=counts[b.name]))
 
-    found: dict[str, dict[int, object]] = {n: {} for n in names}
-    to_sort = []
+    # adjacent ranks share their bracket
+    merged: dict[tuple, Bracket] = {}
     for b in ready:
-        if b.lo is not None and b.lo == b.hi:
-            for r in b.ranks:
-                found[b.name][r] = b.lo
-        else:
-            to_sort.append(b)
-
-    by_type: dict[str, list[Bracket]] = {}
-    for b in to_sort:
-        by_type.setdefault(data.schema[b.name].dataType.simpleString(), []).append(b)
-    for group in by_type.values():
-        cells = F.array(
-            *[
-                F.struct(
-                    F.lit(j).alias("t"),
-                    F.when(_within(F.col(b.name), b.lo, b.hi), F.col(b.name)).alias("v"),
-                )
-                for j, b in enumerate(group)
-            ]
-        )
-        running = Window.partitionBy("t").orderBy("v")
-        wanted = F.array(*[F.array(*[F.lit(r).cast("bigint") for r in b.ranks]) for b in group])
-        offset = F.array(*[F.lit(b.below).cast("bigint") for b in group])
-        picked = (
-            data.select(F.inline(cells))
-            .where("v is not null")
-            .groupBy("t", "v")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("upto", F.sum("n").over(running) + F.get(offset, "t"))
-            .withColumn(
-                "hits",
-                F.filter(
-                    F.get(wanted, "t"),
-                    lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n")),
-                ),
-            )
-            .where(F.size("hits") > 0)
-            .select("t", "v", F.explode("hits").alias("r"))
-        )
-        for row in picked.collect():  # one row per asked rank
-            found[group[row["t"]].name][row["r"]] = row["v"]
-    return counts, found
+        twin = merged.setdefault((b.name, b.lo, b.hi), b)
+        if twin is not b:
+            twin.ranks = sorted({*twin.ranks, *b.ranks})
+    found: dict[str, dict[int, object]] = {n: {} for n in names}
+    for (name, rank), value in (_select(data, list(merged.values())) if merged else {}).items():
+        found[name][rank] = value
+    return dict(counts), found
 
 
 @dataclass
@@ -224,7 +284,7 @@ def range_splits(
     fractions = [i / ranges for i in range(1, ranges)]
     row = df.agg(
         *[
-            F.percentile_approx(c.cast("double"), fractions, max(10_000, 4 * ranges)).alias(n)
+            F.percentile_approx(c.cast("double"), fractions, max(1_000, 8 * ranges)).alias(n)
             for n, c in columns.items()
         ]
     ).first()

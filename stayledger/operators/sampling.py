@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import hash_rank_key
+from ..functions.scalar import HASH_RANGE, hash_rank_key
 from .ordering import order_statistics
 
 
@@ -21,7 +21,10 @@ def sample_fraction(df: DataFrame, id_col: str, fraction: float, seed: int | str
     """
     key = hash_rank_key(id_col, seed)
     counts, found = order_statistics(
-        df, {"h": key}, lambda _name, n: [max(round(fraction * n) - 1, 0)] if n else []
+        df,
+        {"h": key},
+        lambda _name, n: [max(round(fraction * n) - 1, 0)] if n else [],
+        uniform_below=HASH_RANGE,
     )
     if not counts["h"] or round(fraction * counts["h"]) == 0:
         return df.limit(0)

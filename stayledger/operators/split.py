@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import hash_rank_key, month_number, period_of, total
+from ..functions.scalar import HASH_RANGE, hash_rank_key, month_number, period_of, total
 from ..schema import Roles
 from .ordering import SORT_LIMIT, order_statistics
 
@@ -84,7 +84,9 @@ def _class_hash_cuts(
     key = hash_rank_key(id_col, seed)
     columns = {f"c{i}": F.when(F.col(target) == r[target], key) for i, r in enumerate(classes)}
     known = {f"c{i}": r["n"] for i, r in enumerate(classes)}
-    _, found = order_statistics(df, columns, lambda _name, n: ranks_of(n), limit, known)
+    _, found = order_statistics(
+        df, columns, lambda _name, n: ranks_of(n), limit, known, uniform_below=HASH_RANGE
+    )
     return {r[target]: (r["n"], found[f"c{i}"]) for i, r in enumerate(classes)}
 
 

@@ -23,7 +23,7 @@ SCORED = """scored AS (SELECT event_id, ts, event_type, user_id, value, p,
 
 
 def _source(spark, sf):
-    return read_stream(spark, sf, ACTIVITY_EVENT, "events.parquet")
+    return read_stream(spark, f"{sf}/events*.parquet", ACTIVITY_EVENT)
 
 
 def _scored(events, keep=()):

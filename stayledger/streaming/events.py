@@ -42,14 +42,13 @@ def parse_events(
 
 def read_stream(
     spark: SparkSession,
-    directory: str,
+    path: str,
     schema: T.StructType,
-    pattern: str = "*.parquet",
     fmt: str = "parquet",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """File source over a directory; a broker source only swaps format and options."""
-    reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern)
+    """File source over a folder or a glob of files; a broker source only swaps format and options."""
+    reader = spark.readStream.format(fmt).schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(directory)
+    return reader.load(path)

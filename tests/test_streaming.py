@@ -154,6 +154,6 @@ def test_reports_come_every_nth_batch(spark):
 
 
 def test_activity_stream_reads_one_file_of_a_folder(spark, sf_dir):
-    stream = E.read_stream(spark, sf_dir, ACTIVITY_EVENT, "events.parquet")
+    stream = E.read_stream(spark, f"{sf_dir}/events*.parquet", ACTIVITY_EVENT)
     assert stream.isStreaming and stream.columns == ACTIVITY_EVENT.names
     assert BOOKING_EVENT["booking"].dataType == EVENT_BOOKING
