@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import as_col
 
-SORT_LIMIT = 2_000_000  # rows one task may sort when selecting a rank
+SORT_LIMIT = 250_000  # rows one task may sort when selecting a rank
 GRID = 512  # sketch points per column
 SKETCH_ACCURACY = 4_096  # rank error of a sketch, well below one grid step
 MAX_ROUNDS = 24

@@ -75,17 +75,20 @@ def time_split(
     )
 
 
-def _class_hash_cuts(
-    df: DataFrame, target: str, id_col: str, seed: int | str, ranks_of, limit: int
-) -> dict:
-    """{class: (rows, sorted hash cuts)} for ranks within each class of the target."""
-    sizes = df.groupBy(target).agg(F.count(id_col).alias("n")).orderBy(target).collect()
+HASH = "_hash"
+
+
+def _class_hash_cuts(hashed: DataFrame, target: str, ranks_of, limit: int) -> dict:
+    """{class: (rows, {rank: hash})} for ranks within each class of the target.
+
+    The hash is a column of its own, so it is computed once per row however often it is compared.
+    """
+    sizes = hashed.groupBy(target).agg(F.count(F.lit(1)).alias("n")).orderBy(target).collect()
     classes = [r for r in sizes if r[target] is not None]
-    key = hash_rank_key(id_col, seed)
-    columns = {f"c{i}": F.when(F.col(target) == r[target], key) for i, r in enumerate(classes)}
+    columns = {f"c{i}": F.when(F.col(target) == r[target], F.col(HASH)) for i, r in enumerate(classes)}
     known = {f"c{i}": r["n"] for i, r in enumerate(classes)}
     _, found = order_statistics(
-        df, columns, lambda _name, n: ranks_of(n), limit, known, uniform_below=HASH_RANGE
+        hashed, columns, lambda _name, n: ranks_of(n), limit, known, uniform_below=HASH_RANGE
     )
     return {r[target]: (r["n"], found[f"c{i}"]) for i, r in enumerate(classes)}
 
@@ -100,16 +103,18 @@ def stratified_split(
     out: str = "split",
 ) -> DataFrame:
     """Tag rows 'train'/'test': in each class the round(test_size * n) smallest hashes test."""
+
     def edge(n: int) -> list[int]:
         return [max(math.floor(test_size * n + 0.5) - 1, 0)]
 
-    cuts = _class_hash_cuts(df, target, id_col, seed, edge, limit)
-    key = hash_rank_key(id_col, seed)
+    hashed = df.withColumn(HASH, hash_rank_key(id_col, seed))
+    cuts = _class_hash_cuts(hashed, target, edge, limit)
+    key = F.col(HASH)
     in_test = F.lit(False)
     for level, (n, found) in cuts.items():
         if math.floor(test_size * n + 0.5):
             in_test = in_test | ((F.col(target) == level) & (key <= F.lit(found[edge(n)[0]])))
-    return df.withColumn(out, F.when(in_test, "test").otherwise("train"))
+    return hashed.withColumn(out, F.when(in_test, "test").otherwise("train")).drop(HASH)
 
 
 def stratified_folds(
@@ -122,18 +127,20 @@ def stratified_folds(
     out: str = "fold",
 ) -> DataFrame:
     """Fold 0..k-1 per row: hash order within a class, cut into k parts of equal size (+-1)."""
+
     def starts(n: int) -> list[int]:
         return [-(-j * n // k) for j in range(1, k)]
 
-    cuts = _class_hash_cuts(df, target, id_col, seed, starts, limit)
-    key = hash_rank_key(id_col, seed)
+    hashed = df.withColumn(HASH, hash_rank_key(id_col, seed))
+    cuts = _class_hash_cuts(hashed, target, starts, limit)
+    key = F.col(HASH)
     fold = F.lit(0)
     for level, (n, found) in cuts.items():
         edges = [found[r] for r in starts(n) if r in found]
         steps = [F.when(key >= F.lit(e), 1).otherwise(0) for e in edges]
         if steps:
             fold = F.when(F.col(target) == level, total(steps)).otherwise(fold)
-    return df.withColumn(out, fold.cast("int"))
+    return hashed.withColumn(out, fold.cast("int")).drop(HASH)
 
 
 # --- time-ordered cross-validation ---------------------------------------------------------------
