@@ -120,3 +120,35 @@ def test_pricing_job(sides, scorer):
 
     priced = jobs.pricing_job(train.unionByName(test), scorer, make_regressor=linear).collect()
     assert len(priced) == 1 and 66.0 <= priced[0].recommended_price <= 198.0
+
+
+def test_stream_and_table_are_scored_alike(spark, sides, scorer, tmp_path):
+    """The scorer runs unchanged on a stream of several micro-batches."""
+    from stayledger.streaming import jobs as J
+    from stayledger.streaming.events import read_stream
+
+    _, test = sides
+    path = str(tmp_path / "incoming")
+    test.repartition(3).write.parquet(path)
+    stream = read_stream(spark, path, test.schema, files_per_trigger=1)
+    live = J.run_to_table(scorer.transform(stream, (ROLES.id,)), "live-scores")
+    batch = scorer.transform(test, (ROLES.id,))
+    a = {r[0]: r.p for r in live.collect()}
+    assert len(a) == test.count()
+    assert a == pytest.approx({r[0]: r.p for r in batch.collect()})
+
+
+def test_rules_hold_on_a_stream(spark, hotel, tmp_path):
+    from stayledger.operators.cleaning import fill_with_flag
+    from stayledger.operators.quality import booking_request_rules, valid_and_quarantined
+    from stayledger.streaming import jobs as J
+    from stayledger.streaming.events import read_stream
+
+    ready = fill_with_flag(hotel, ["agent", "company"])
+    path = str(tmp_path / "requests")
+    ready.write.parquet(path)
+    good, bad = valid_and_quarantined(read_stream(spark, path, ready.schema), booking_request_rules())
+    n_good = J.run_to_table(good, "valid").count()
+    aside = J.run_to_table(bad, "quarantine")
+    assert n_good + aside.count() == ready.count()
+    assert aside.where(F.size("reasons") == 0).count() == 0 and aside.count() > 0
