@@ -42,12 +42,14 @@ HEADLINE = (
     "lag_features",
     "backtest_naive",
     "best_price",
+    "base_cancel_rate",
     "psi_numeric",
     "ks_two_sample",
     "drift_report",
     "retrain_policy",
     "stream_scored",
     "stream_last_n",
+    "train_and_score",
 )
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -180,11 +182,17 @@ def train_levels(
 
 
 def one_hot(df: DataFrame, levels: dict[str, list[str]]) -> DataFrame:
-    """0/1 column per train level named `{column}_{level}`; unseen and null are all zero."""
+    """0/1 column per train level named `{column}_{level}`; unseen and null are all zero.
+
+    Dots in a level become underscores in the name; levels that then share a name share a column.
+    """
+    named: dict[str, list] = {}
+    for c, values in levels.items():
+        for level in values:
+            named.setdefault(f"{c}_{level}".replace(".", "_"), []).append((c, level))
     out = {
-        f"{c}_{level}": flag(F.col(c).cast("string") == F.lit(level))
-        for c, values in levels.items()
-        for level in values
+        name: flag(reduce(or_, [F.col(c).cast("string") == F.lit(level) for c, level in pairs]))
+        for name, pairs in named.items()
     }
     return df.withColumns(out).drop(*levels)
 

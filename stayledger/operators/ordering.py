@@ -281,14 +281,14 @@ def range_splits(
 ) -> dict[str, list[float]]:
     """Interior split points that cut each column into ranges of about equal row counts."""
     ranges = ranges or range_count(df)
-    fractions = [i / ranges for i in range(1, ranges)]
-    row = df.agg(
-        *[
-            F.percentile_approx(c.cast("double"), fractions, max(1_000, 8 * ranges)).alias(n)
-            for n, c in columns.items()
-        ]
-    ).first()
-    return {n: sorted(set(row[n] or [])) for n in columns}
+    spots = ",".join(f"{i / ranges}D" for i in range(1, ranges))
+    sketches = [
+        F.expr(f"percentile_approx(c{i}, array({spots}), {max(1_000, 8 * ranges)})").alias(f"c{i}")
+        for i in range(len(columns))
+    ]
+    values = [c.cast("double").alias(f"c{i}") for i, c in enumerate(columns.values())]
+    row = df.select(*values).agg(*sketches).first()
+    return {n: sorted(set(row[f"c{i}"] or [])) for i, n in enumerate(columns)}
 
 
 def with_range(df: DataFrame, column: str, splits: Sequence[float], out: str) -> DataFrame:

@@ -103,10 +103,15 @@ def l1_scores(
 
 
 def tree_gain_scores(
-    df: DataFrame, features: Sequence[str], target: str, trees: int = 50, depth: int = 5
+    df: DataFrame,
+    features: Sequence[str],
+    target: str,
+    trees: int = 200,
+    depth: int = 5,
+    step: float = 0.05,
 ) -> DataFrame:
     """Impurity-gain importance of a boosted tree ensemble."""
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=0.1, seed=42).fit(
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, stepSize=step, seed=42).fit(
         _assemble(df, features, target)
     )
     return _scores(df, zip(features, model.featureImportances.toArray(), strict=True))

@@ -117,7 +117,7 @@ def evaluation_job(
 
 
 def selection_job(
-    tables: PreparedTables, roles: Roles = Roles(), keep: int = 20
+    tables: PreparedTables, roles: Roles = Roles(), keep: int = 20, trees: int = 200
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """All five rankings and their consensus."""
     df, features, target = tables.train, tables.features, roles.target
@@ -125,7 +125,7 @@ def selection_job(
         "mutual_info": selection.mutual_info_binned(df, features, target),
         "anova_f": selection.anova_f(df, features, target),
         "l1": selection.l1_scores(df, features, target),
-        "tree": selection.tree_gain_scores(df, features, target),
+        "tree": selection.tree_gain_scores(df, features, target, trees),
         "rfe": selection.rfe_ranks(df, features, target, keep),
     }
     return rankings, selection.consensus_ranking(rankings)

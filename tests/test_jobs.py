@@ -91,6 +91,10 @@ def test_evaluation_selection_explanation(tables):
     after = report["summary_after"].first()
     assert 0 <= after.ece <= 1 and report["cost"].where("is_best").count() == 1
     assert report["roc"].count() <= 100 and report["pr"].count() <= 100
+    rankings, consensus = jobs.selection_job(tables, ROLES, keep=45, trees=2)
+    best = [r.feature for r in consensus.limit(12).collect()]
+    assert set(rankings) == {"mutual_info", "anova_f", "l1", "tree", "rfe"}
+    assert any(f.startswith(("lead_", "deposit_type", "risk_score")) for f in best)
     explained = jobs.explanation_job(tables, ROLES)
     assert explained["rows"].count() == tables.test.count()
     assert explained["signed"].count() == 10

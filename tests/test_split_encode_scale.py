@@ -181,6 +181,8 @@ def test_one_hot_follows_train(spark):
     out = E.one_hot(test, levels)
     assert out.columns == ["k_a", "k_b"]
     assert [tuple(r) for r in out.collect()] == [(0, 1), (0, 0), (0, 0)]
+    dotted = spark.createDataFrame([("St. A",), ("x",)], "k string")
+    assert E.one_hot(dotted, E.train_levels(dotted, ["k"])).columns == ["k_St_ A", "k_x"]
     with pytest.raises(ValueError):
         E.train_levels(spark.range(50).select(F.col("id").cast("string").alias("k")), ["k"], max_levels=10)
 
