@@ -161,12 +161,13 @@ _SUMMARY = """summary AS (SELECT CASE WHEN count(*) FILTER (WHERE drift = 'signi
         _DRIFTED,
         _report_sql("train", "drifted"),
         _SUMMARY,
-        select="SELECT * FROM summary",
+        select="SELECT * REPLACE (array_to_string(top_drifted, ',') AS top_drifted) FROM summary",
     ),
 )
 def _drift_summary(spark, sf):
     train, drifted = drifted_sides(spark, sf)
-    return D.summarize(D.detect_drift(train, drifted, "is_canceled", _FEATURES))
+    summary = D.summarize(D.detect_drift(train, drifted, "is_canceled", _FEATURES))
+    return summary.withColumn("top_drifted", F.array_join("top_drifted", ","))
 
 
 _WINDOWS = """groups AS (SELECT period, p, sum(is_canceled) AS pos, count(*) - sum(is_canceled) AS neg

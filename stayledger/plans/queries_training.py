@@ -108,7 +108,8 @@ def _hyperparameter_search(spark, sf):
     def draw(rng):
         return {"maxIter": rng.randint(2, 4), "maxDepth": rng.randint(2, 3)}
 
-    return M.search(rows, _folds(rows, 2), FEATURES, LABEL, 2, draw=draw, make=small_trees)
+    tried = M.search(rows, _folds(rows, 2), FEATURES, LABEL, 2, draw=draw, make=small_trees)
+    return tried.withColumn("params", F.to_json("params"))
 
 
 @query("permutation_importance")
@@ -153,7 +154,8 @@ def _monitoring_decision(spark, sf):
     _, decision = jobs.monitoring_job(
         scorer, train, window, 0.36, ["lead_time", "adr", "market_segment", "deposit_type"]
     )
-    return decision
+    texts = {c: F.array_join(c, " | ") for c in ("reasons", "top_drifted")}
+    return decision.withColumns(texts)
 
 
 def linear_forecast(label):
