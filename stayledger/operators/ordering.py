@@ -14,19 +14,22 @@ from __future__ import annotations
 import bisect
 import json
 import math
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.scalar import as_col
+from ..functions.scalar import as_col, nan_to_null
 
 SORT_LIMIT = 250_000  # rows one task may sort when selecting a rank
 GRID = 512  # sketch points per column
 SKETCH_ACCURACY = 4_096  # rank error of a sketch, well below one grid step
 MAX_ROUNDS = 24
+LARGEST = sys.float_info.max
 
 
 @dataclass
@@ -41,10 +44,17 @@ class Bracket:
     inside: int = 0
     outer: tuple = (None, None)
 
+    def bounds(self) -> tuple[float | None, float | None]:
+        """Finite bounds; an end beyond the largest number is open."""
+        lo = None if self.lo is None or self.lo == -math.inf else min(self.lo, LARGEST)
+        hi = None if self.hi is None or self.hi >= LARGEST else max(self.hi, -LARGEST)
+        return lo, hi
+
     def cells(self, edges: Sequence[float]) -> range:
         """The cells between consecutive edges that make up the bracket."""
-        start = 0 if self.lo is None else bisect.bisect_right(edges, self.lo)
-        stop = len(edges) + 1 if self.hi is None else bisect.bisect_right(edges, _above(self.hi))
+        lo, hi = self.bounds()
+        start = 0 if lo is None else bisect.bisect_right(edges, lo)
+        stop = len(edges) + 1 if hi is None else bisect.bisect_right(edges, _above(hi))
         return range(start, stop)
 
 
@@ -56,8 +66,9 @@ def _edges_by_column(brackets: Sequence[Bracket]) -> dict[str, list[float]]:
     edges: dict[str, set[float]] = {}
     for b in brackets:
         mine = edges.setdefault(b.name, set())
-        mine |= {b.lo} if b.lo is not None else set()
-        mine |= {_above(b.hi)} if b.hi is not None else set()
+        lo, hi = b.bounds()
+        mine |= {lo} if lo is not None else set()
+        mine |= {_above(hi)} if hi is not None else set()
     return {name: sorted(e) for name, e in edges.items()}
 
 
@@ -150,6 +161,17 @@ def _select(data: DataFrame, brackets: Sequence[Bracket]) -> dict[tuple[str, int
     return found
 
 
+def _without_nan(data: DataFrame) -> DataFrame:
+    """Not-a-number counts as missing."""
+    real = (T.DoubleType, T.FloatType)
+    return data.select(
+        *[
+            nan_to_null(f.name).alias(f.name) if isinstance(f.dataType, real) else f.name
+            for f in data.schema
+        ]
+    )
+
+
 def order_statistics(
     df: DataFrame,
     columns: Mapping[str, Column],
@@ -168,7 +190,7 @@ def order_statistics(
     names = list(columns)
     if not names:
         return {}, {}
-    data = df.select(*[columns[n].alias(n) for n in names])
+    data = _without_nan(df.select(*[columns[n].alias(n) for n in names]))
     if counts is None:
         sizes = data.agg(*[F.count(n).alias(f"n_{i}") for i, n in enumerate(names)]).first()
         counts = {n: sizes[f"n_{i}"] for i, n in enumerate(names)}
@@ -288,7 +310,9 @@ def range_splits(
     ]
     values = [c.cast("double").alias(f"c{i}") for i, c in enumerate(columns.values())]
     row = df.select(*values).agg(*sketches).first()
-    return {n: sorted(set(row[f"c{i}"] or [])) for i, n in enumerate(columns)}
+    return {
+        n: sorted({v for v in row[f"c{i}"] or [] if math.isfinite(v)}) for i, n in enumerate(columns)
+    }
 
 
 def with_range(df: DataFrame, column: str, splits: Sequence[float], out: str) -> DataFrame:

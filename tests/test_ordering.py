@@ -90,3 +90,15 @@ def test_lookup_paths_agree(spark):
     )
     plan = large._jdf.queryExecution().toString()
     assert "_salt" in plan
+
+
+@pytest.mark.parametrize("limit", [10, 10**6])
+def test_not_a_number_is_missing_and_infinity_is_a_value(spark, limit):
+    data = [float(i) for i in range(200)] + [float("inf")] * 60 + [float("-inf")] * 60
+    df = spark.createDataFrame([(v,) for v in [*data, *[float("nan")] * 30, None]], "x double")
+    want = sorted(data)
+    ranks = [0, 59, 60, 150, 259, 260, 319]
+    counts, found = order_statistics(df, {"x": F.col("x")}, lambda _n, _c: ranks, limit=limit)
+    assert counts["x"] == len(want)
+    assert [found["x"][r] for r in ranks] == [want[r] for r in ranks]
+    assert all(np.isfinite(range_splits(df, {"x": F.col("x")}, 8)["x"]))
