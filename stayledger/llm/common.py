@@ -62,3 +62,9 @@ def held_out(doc_id: Column) -> Column:
     A null id counts as the empty text.
     """
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(4)) == 2
+
+
+def run_at(array: Column, first: Column, length: int) -> list[Column]:
+    """`length` elements from the 1-based place `first` on; each is read in constant time, which a
+    slice inside a lambda is not."""
+    return [F.get(array, first + (k - 1)) for k in range(length)]

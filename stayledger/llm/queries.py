@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import sharding, warc
+from . import decontaminate, rules, sharding, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op5_rules": rules.op5_rules,
+    "op7_decontaminate": decontaminate.op7_decontaminate,
     "op10_warc": warc.op10_warc,
 }
 
 ORACLES = {
     "op1_sharding": sharding.oracle(),
+    "op5_rules": rules.oracle(),
+    "op7_decontaminate": decontaminate.ORACLE,
     "op10_warc": warc.ORACLE,
 }
