@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from . import decontaminate, rules, sharding, warc
+from . import chat, decontaminate, mixing, rules, secrets, sharding, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
+    "op2_secrets": secrets.op2_secrets,
+    "op4_chat": chat.op4_chat,
     "op5_rules": rules.op5_rules,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op9_mixing": mixing.op9_mixing,
     "op10_warc": warc.op10_warc,
 }
 
 ORACLES = {
     "op1_sharding": sharding.oracle(),
+    "op4_chat": chat.ORACLE,
     "op5_rules": rules.oracle(),
     "op7_decontaminate": decontaminate.ORACLE,
+    "op9_mixing": mixing.oracle(),
     "op10_warc": warc.ORACLE,
 }
