@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import col, free_names, joined_digest, text_of, without
 
@@ -188,7 +189,20 @@ def find(text: str) -> tuple[list[tuple[str, int, int, int]], int]:
     return [(*x, spans[x]) for x in ordered], oversized
 
 
-FOUND = "spans array<struct<kind:string,start:int,end:int,depth:int>>, oversized int"
+SPAN_TYPE = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("start", T.IntegerType()),
+        T.StructField("end", T.IntegerType()),
+        T.StructField("depth", T.IntegerType()),
+    ]
+)
+FOUND = T.StructType(
+    [
+        T.StructField("spans", T.ArrayType(SPAN_TYPE)),
+        T.StructField("oversized", T.IntegerType()),
+    ]
+)
 
 
 @F.pandas_udf(FOUND)
