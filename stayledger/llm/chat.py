@@ -163,13 +163,13 @@ views AS (SELECT DISTINCT conv_id, speaker AS perspective FROM placed WHERE spea
 drawn AS (SELECT conv_id, perspective, place, speaker = perspective AS spoken,
   '{OPEN}' || CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant'
     ELSE 'user name=' || speaker END || chr(10) AS head,
-  replace(text, '<|', '< |') || '{OPEN[:0]}<|im_end|>' || chr(10) AS tail
+  replace(text, '<|', '< |') || '<|im_end|>' || chr(10) AS tail
   FROM placed JOIN views USING (conv_id)),
-at AS (SELECT *, CAST(coalesce(sum(length(head || tail)) OVER (PARTITION BY conv_id, perspective
+offsets AS (SELECT *, CAST(coalesce(sum(length(head || tail)) OVER (PARTITION BY conv_id, perspective
   ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM drawn)
 SELECT conv_id, perspective, CAST(place // {PART_SEGMENTS} AS INTEGER) AS part,
   CAST(count(*) AS INTEGER) AS segments, min(start) AS "offset",
   string_agg(head || tail, '' ORDER BY place) AS text,
   coalesce(string_agg(CASE WHEN spoken THEN (start + length(head)) || ':'
     || (start + length(head) + length(tail)) END, ',' ORDER BY place), '') AS masks
-FROM at GROUP BY ALL"""
+FROM offsets GROUP BY ALL"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import bz2
 import lzma
 import re
@@ -97,9 +98,12 @@ def replaced(text: str, found: Iterator[re.Match], decode: Callable[[str], str])
     out.append(text[at:])
     pieces.append((size, size + len(text) - at, at, len(text)))
 
+    filled = [p for p in pieces if p[0] < p[1]]
+    starts = [p[0] for p in filled]
+
     def back(start: int, end: int) -> tuple[int, int]:
-        first = next(p for p in pieces if p[0] <= start < p[1])
-        last = next(p for p in pieces if p[0] < end <= p[1])
+        first = filled[bisect.bisect_right(starts, start) - 1]
+        last = filled[bisect.bisect_left(starts, end) - 1]
         a = first[2] + start - first[0] if first[1] - first[0] == first[3] - first[2] else first[2]
         b = last[2] + end - last[0] if last[1] - last[0] == last[3] - last[2] else last[3]
         return a, b
