@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import settle, work_path
+from ..session import work_path
 from .common import col, file_stage, text_of
 
 MAGIC = "WARC/1.0\r\n"
@@ -104,61 +104,62 @@ def write_archives(
     typed.select(record(typed).alias("value")).write.option("lineSep", BREAK).text(path)
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The archives cut behind every occurrence of the magic, with exact byte offsets.
+def header_field(header: Column, name: str) -> Column:
+    return F.regexp_extract(header, f"(?im)^{name}:[ \\t]*([^\\r\\n]*)", 1)
 
-    Files are read in splits. Within a split, lengths are summed in reading order; a split starts
-    where the ones before it in its file end. So a candidate's offset needs no task to see more than
-    one split. Rows: file, off (of the magic; 0 bytes of magic before the first piece), piece.
-    """
+
+def pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The archives cut behind every occurrence of the magic, written once: file, split, seq (order
+    in the split), size (bytes with the magic), skip (bytes from the magic to the next record, if
+    the piece starts with a header that tells its length) and the piece itself."""
+    header = F.substring_index("piece", BREAK, 1)
+    length = header_field(header, "Content-Length")
+    skip = (
+        2 * len(BREAK)
+        + len(MAGIC)
+        + F.octet_length(header)
+        + F.when(length.rlike("^[0-9]{1,18}$"), length.cast("long"))
+    )
     raw = spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").alias("piece"),
     )
-    staged = file_stage(
-        raw.withColumn("size", F.octet_length("piece").cast("long") + len(MAGIC)), "pieces"
+    size = F.octet_length("piece").cast("long") + len(MAGIC)
+    return file_stage(
+        raw.select("file", "split", "seq", size.alias("size"), skip.alias("skip"), "piece"), "pieces"
     )
-    # One row per split: bounded by the size of the archives over the split size.
-    splits = staged.groupBy("file", "split").agg(F.sum("size").alias("held"))
-    before = splits.selectExpr(
+
+
+def candidates(cut: DataFrame) -> DataFrame:
+    """Each magic with its byte offset, and the offset at which its record, if it is one, ends.
+
+    Lengths are summed inside a split in reading order, and a split starts where the ones before it
+    in its file end, so no task sees more than the sizes of one split. The piece before the first
+    magic of a file (empty in a well-formed one) has the offset -10 and is no candidate.
+    """
+    sizes = cut.select("file", "split", "seq", "size", "skip")
+    # One row per split: bounded by the size of the archives over the size of a split.
+    held = sizes.groupBy("file", "split").agg(F.sum("size").alias("held"))
+    before = held.selectExpr(
         "file",
         "split",
         "coalesce(sum(held) OVER (PARTITION BY file ORDER BY split "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS base",
     )
-    within = staged.select("file", "split", "seq", "size", "piece").selectExpr(
+    inner = sizes.selectExpr(
         "*",
         "coalesce(sum(size) OVER (PARTITION BY file, split ORDER BY seq "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inner_off",
     )
-    # The first piece of a file lies before any magic: it is empty in a well-formed archive.
-    return within.join(before, ["file", "split"]).select(
-        "file", "split", (F.col("base") + F.col("inner_off") - len(MAGIC)).alias("off"), "piece"
+    off = F.col("base") + F.col("inner_off") - len(MAGIC)
+    placed = inner.join(before, ["file", "split"]).withColumn("off", off).where("off >= 0")
+    return placed.select(
+        "file", "split", "seq", "off", (F.col("off") + F.col("skip")).alias("next")
     )
 
 
-def header_field(name: str) -> Column:
-    return F.regexp_extract("header", f"(?im)^{name}:[ \\t]*([^\\r\\n]*)", 1)
-
-
-def candidates(cut: DataFrame) -> DataFrame:
-    """Each magic with the offset at which its record, if it is one, is followed by the next."""
-    head = F.substring_index("piece", BREAK, 1)
-    framed = cut.where("off >= 0").withColumn("header", head)
-    length = header_field("Content-Length")
-    after = (
-        F.col("off")
-        + len(MAGIC)
-        + F.octet_length("header")
-        + len(BREAK)
-        + F.when(length.rlike("^[0-9]{1,18}$"), length.cast("long"))
-        + len(BREAK)
-    )
-    return framed.select("file", "split", "off", "header", "piece", after.alias("next"))
-
-
 def reachable(links: DataFrame) -> DataFrame:
     """Offsets on the chain from the start of each file, by pointer jumping.
 
@@ -166,94 +167,108 @@ def reachable(links: DataFrame) -> DataFrame:
     doubles. Rounds are logarithmic in the records of the longest file, and each is one join on
     (file, offset) of slim rows, cut from its lineage.
     """
-    jump = settle(links.where("next IS NOT NULL").select("file", "off", "next"))
-    reached = settle(links.where("off = 0").select("file", "off"))
+    jump = file_stage(links.where("next IS NOT NULL").select("file", "off", "next"), "jump")
+    known = links.select("file", "off")
+    reached = file_stage(known.where("off = 0"), "reached")
     count = reached.count()
     while True:
-        found = settle(
-            reached.join(jump, ["file", "off"])
-            .select("file", F.col("next").alias("off"))
-            .union(reached)
-            .join(links.select("file", "off"), ["file", "off"], "left_semi")
-            .distinct()
+        ahead = reached.join(jump, ["file", "off"]).select("file", F.col("next").alias("off"))
+        found = file_stage(
+            ahead.union(reached).distinct().join(known, ["file", "off"], "left_semi"), "reached"
         )
         now = found.count()
         if now == count:
             return found
         reached, count = found, now
-        ahead = jump.select("file", F.col("off").alias("next"), F.col("next").alias("far"))
-        jump = settle(jump.join(ahead, ["file", "next"]).select("file", "off", F.col("far").alias("next")))
+        second = jump.select("file", F.col("off").alias("next"), F.col("next").alias("far"))
+        jump = file_stage(
+            jump.join(second, ["file", "next"]).select("file", "off", F.col("far").alias("next")),
+            "jump",
+        )
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives below `path`: file, off, header fields and payload.
+def owners(found: DataFrame, chain: DataFrame) -> DataFrame:
+    """For each piece the record that holds it, and the number of pieces of that record.
 
-    Every occurrence of the magic is a candidate record. Tasks emit (offset, successor) pairs, and
-    only candidates on the chain from the start of a file are kept, so a magic inside a payload is
-    part of that payload. A payload cut by such magics is put together again from its pieces; only
-    those records are grouped. An empty folder gives no rows.
+    It is the last reached offset at or before the piece: inside its split, else the last one of an
+    earlier split (one row per split). Pieces before any record have no owner.
     """
-    found = file_stage(candidates(pieces(spark, path)), "candidates")
-    chain = reachable(found.select("file", "off", "next"))
-    real = chain.withColumn("real", F.lit(True))
-    marked = found.join(real, ["file", "off"], "left")
-    # The record that holds a piece: the last one reached at or before it, first within the split,
-    # else the last one of an earlier split (one row per split).
-    own = "max(CASE WHEN real THEN off END) OVER (PARTITION BY file, split ORDER BY off)"
-    last = marked.where("real").groupBy("file", "split").agg(F.max("off").alias("last"))
-    spans = found.groupBy("file", "split").agg(F.count(F.lit(1)).alias("n")).join(
-        last, ["file", "split"], "left"
+    marked = found.join(chain.withColumn("real", F.lit(True)), ["file", "off"], "left")
+    inside = marked.selectExpr(
+        "file",
+        "split",
+        "seq",
+        "off",
+        "max(CASE WHEN real THEN off END) OVER (PARTITION BY file, split ORDER BY off) AS inside",
     )
-    carried = spans.selectExpr(
+    last = marked.groupBy("file", "split").agg(F.max(F.when(F.col("real"), F.col("off"))).alias("last"))
+    carried = last.selectExpr(
         "file",
         "split",
         "max(last) OVER (PARTITION BY file ORDER BY split "
         "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS carry",
     )
-    slim = (
-        marked.select("file", "split", "off", "real")
-        .selectExpr("file", "split", "off", "real", f"{own} AS inside")
-        .join(carried, ["file", "split"])
-        .select("file", "off", "real", F.coalesce("inside", "carry").alias("owner"))
-    )
-    slim = file_stage(slim, "owners")
-    extra = found.join(slim.where("real IS NULL AND owner IS NOT NULL"), ["file", "off"]).select(
-        "file", F.col("owner").alias("off"), F.struct(F.col("off").alias("at"), "piece").alias("part")
-    )
-    tails = (
-        extra.groupBy("file", "off")
-        .agg(F.sort_array(F.collect_list("part")).alias("parts"))
+    held = file_stage(
+        inside.join(carried, ["file", "split"]).select(
+            "file", "split", "seq", "off", F.coalesce("inside", "carry").alias("owner")
+        ),
+        "owners",
+    ).where("owner IS NOT NULL")
+    parts = held.groupBy("file", "owner").agg(F.count(F.lit(1)).alias("parts"))
+    return held.join(file_stage(parts.where("parts > 1"), "cut"), ["file", "owner"], "left")
+
+
+def read_archives(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all archives below `path`: file, off, header fields and payload.
+
+    Every occurrence of the magic is a candidate record. Tasks emit (offset, successor) pairs, and
+    only candidates on the chain from the start of a file are kept, so a magic inside a payload is
+    part of that payload. A payload cut by such magics is put together again from its pieces; only
+    those records are grouped, all others pass through one join. An empty folder gives no rows.
+    """
+    cut = pieces(spark, path)
+    found = file_stage(candidates(cut), "candidates")
+    plan = file_stage(owners(found, reachable(found)), "plan")
+    on = ["file", "split", "seq"]
+    bodies = cut.select(*on, "piece").join(plan, on)
+    single = bodies.where("parts IS NULL").select("file", "off", F.col("piece").alias("body"))
+    part = F.struct("off", "piece").alias("part")
+    several = (
+        bodies.where("parts IS NOT NULL")
+        .groupBy("file", F.col("owner").alias("off"))
+        .agg(F.sort_array(F.collect_list(part)).alias("rows"))
         .select(
+            "file", "off", F.array_join(F.transform("rows", lambda p: p["piece"]), MAGIC).alias("body")
+        )
+    )
+    whole = single.unionByName(several).withColumn("header", F.substring_index("body", BREAK, 1))
+
+    def field(name: str) -> Column:
+        return header_field(F.col("header"), name)
+
+    def page(name: str) -> Column:
+        return F.regexp_extract(field(name), "urn:page:(-?[0-9]+)", 1).try_cast("long")
+
+    content = F.col("body").substr(F.length("header") + len(BREAK) + 1, F.length("body"))
+    block = F.substring(F.encode(content, "UTF-8"), F.lit(1), field("Content-Length").cast("int"))
+    return (
+        whole.select(
             "file",
             "off",
-            F.concat(
-                F.lit(MAGIC), F.array_join(F.transform("parts", lambda p: p["piece"]), MAGIC)
-            ).alias("tail"),
+            field("WARC-Type").alias("record_type"),
+            page("WARC-Record-ID").alias("page_id"),
+            field("WARC-Target-URI").alias("url"),
+            field("X-Payload-Length").try_cast("long").alias("payload_bytes"),
+            F.regexp_replace(field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
+            page("WARC-Refers-To").alias("refers_to"),
+            F.decode(block, "UTF-8").alias("block"),
         )
+        .withColumn(
+            "payload",
+            F.col("block").substr(F.instr("block", BREAK) + len(BREAK), F.length("block")),
+        )
+        .drop("block")
     )
-    whole = (
-        found.join(slim.where("real"), ["file", "off"], "left_semi")
-        .join(tails, ["file", "off"], "left")
-        .withColumn("body", F.concat("piece", F.coalesce("tail", F.lit(""))))
-    )
-    content = F.col("body").substr(F.length("header") + len(BREAK) + 1, F.length("body"))
-    block = F.substring(F.encode(content, "UTF-8"), F.lit(1), header_field("Content-Length").cast("int"))
-    target = header_field("WARC-Refers-To")
-    return whole.select(
-        "file",
-        "off",
-        header_field("WARC-Type").alias("record_type"),
-        F.regexp_extract(header_field("WARC-Record-ID"), "urn:page:(-?[0-9]+)", 1)
-        .try_cast("long")
-        .alias("page_id"),
-        header_field("WARC-Target-URI").alias("url"),
-        header_field("X-Payload-Length").try_cast("long").alias("payload_bytes"),
-        F.regexp_replace(header_field("WARC-Payload-Digest"), "^sha1:", "").alias("payload_digest"),
-        F.regexp_extract(target, "urn:page:(-?[0-9]+)", 1).try_cast("long").alias("refers_to"),
-        F.decode(block, "UTF-8").alias("block"),
-    ).withColumn(
-        "payload", F.col("block").substr(F.instr("block", BREAK) + len(BREAK), F.length("block"))
-    ).drop("block")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
