@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, mixing, rules, secrets, sharding, warc
+from . import chat, decontaminate, mixing, quality, rules, secrets, sharding, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
     "op2_secrets": secrets.op2_secrets,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_chat": chat.op4_chat,
     "op5_rules": rules.op5_rules,
     "op7_decontaminate": decontaminate.op7_decontaminate,
+    "op8_quality": quality.op8_quality,
     "op9_mixing": mixing.op9_mixing,
     "op10_warc": warc.op10_warc,
 }
