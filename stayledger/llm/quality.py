@@ -36,22 +36,22 @@ def _index() -> tuple[np.ndarray, np.ndarray]:
 PLACES, SIGNS = _index()
 
 
+class Buckets(dict):
+    def __missing__(self, word: str) -> int:
+        at = self[word] = zlib.crc32(word.encode()) & (BUCKETS - 1)
+        return at
+
+
 class Reader:
     """Texts as bucket numbers."""
 
     def __init__(self) -> None:
-        self.known: dict[str, int] = {}
-
-    def _bucket(self, word: str) -> int:
-        at = self.known.get(word)
-        if at is None:
-            at = self.known[word] = zlib.crc32(word.encode()) & (BUCKETS - 1)
-        return at
+        self.known = Buckets()
 
     def read(self, text: str) -> np.ndarray:
         if len(self.known) > CACHE:
             self.known.clear()
-        return np.fromiter((self._bucket(w) for w in TOKEN.findall(text)), np.int64)
+        return np.fromiter(map(self.known.__getitem__, TOKEN.findall(text)), np.int64)
 
 
 def neighbours(ids: np.ndarray, gaps: np.ndarray, into: np.ndarray) -> None:

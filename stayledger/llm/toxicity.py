@@ -251,60 +251,95 @@ def summary(chance: np.ndarray) -> tuple[float, float]:
     return math.log1p(float(chance[chance >= DOUBT].sum())), float(chance.max())
 
 
-class Scorer:
-    """Chances per token of whole texts; emissions of words are kept up to CACHE words."""
+def toxic_chances(
+    emit: np.ndarray, size: np.ndarray, steps: np.ndarray, start: np.ndarray
+) -> np.ndarray:
+    """The chances of `forward_backward` alone. `emit` is place x chain; the two states are carried
+    as one ratio of toxic to clean per message."""
+    longest, n = emit.shape
+    odds = np.exp(np.clip(emit, -30, 30))
+    (stay, into), (out, on) = np.exp(steps)
+    ahead = np.empty((longest, n))
+    ahead[0] = odds[0] * np.exp(start[1] - start[0])
+    for t in range(1, longest):
+        ahead[t] = odds[t] * (into + ahead[t - 1] * on) / (stay + ahead[t - 1] * out)
+    back = np.ones(n)
+    for t in range(longest - 1, -1, -1):
+        ratio = ahead[t] * back
+        ahead[t] = ratio / (1 + ratio)
+        if t:
+            heard = odds[t] * back
+            back = np.where(t >= size, 1.0, (out + on * heard) / (stay + into * heard))
+    return ahead
+
+
+class Words(dict):
+    """Row number per word; a new word's emissions are computed once."""
 
     def __init__(self, field: Field) -> None:
+        super().__init__()
         self.field = field
-        self._clear()
-
-    def _clear(self) -> None:
-        self.ids: dict[str, int] = {}
         self.rows: list[tuple[float, float, float, bool]] = []
 
-    def _id(self, word: str) -> int:
-        at = self.ids.get(word)
-        if at is None:
-            f = self.field
-            context = slot("w", word.lower())
-            at = self.ids[word] = len(self.rows)
-            self.rows.append(
-                (
-                    float(f.weights[own_features(word)].sum()),
-                    float(f.before[context]),
-                    float(f.after[context]),
-                    word in ENDS,
-                )
+    def __missing__(self, word: str) -> int:
+        f = self.field
+        context = slot("w", word.lower())
+        at = self[word] = len(self.rows)
+        self.rows.append(
+            (
+                float(f.weights[own_features(word)].sum()),
+                float(f.before[context]),
+                float(f.after[context]),
+                word in ENDS,
             )
+        )
         return at
 
+
+class Scorer:
+    """Chances per token of whole texts; emissions of words are kept up to CACHE words."""
+
+    def __init__(self, field: Field) -> None:
+        self.field = field
+        self.words = Words(field)
+        self.known = np.zeros((0, 4))
+
+    def _read(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.words) > CACHE:
+            self.words, self.known = Words(self.field), np.zeros((0, 4))
+        number = self.words.__getitem__
+        out = [np.fromiter(map(number, tokens(t)), np.int32) for t in texts]
+        fresh = self.words.rows[len(self.known) :]
+        if fresh:
+            self.known = np.concatenate([self.known, np.array(fresh, float)])
+        return out
+
     def chances(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.rows) > CACHE:
-            self._clear()
-        ids = [np.fromiter((self._id(w) for w in tokens(t)), np.int64) for t in texts]
+        ids = self._read(texts)
         lengths = np.array([len(i) for i in ids], int)
         total = int(lengths.sum())
         out = np.zeros(total)
         if total:
             flat = np.concatenate(ids)
-            known = np.array(self.rows)
-            own, before, after, mark = known.T
+            own, before, after, mark = self.known.T
             ends = mark[flat] > 0
             start, size = chains(lengths, ends)
             if len(start):
                 inside = np.zeros(total, bool)  # the token before belongs to the same chain
-                first = np.zeros(total, bool)
-                first[start] = True
-                inside[1:] = ~first[1:] & ~ends[1:] & ~ends[:-1]
+                inside[1:] = ~ends[1:] & ~ends[:-1]
+                inside[start] = False
                 emit = own[flat]
-                emit[1:] += np.where(inside[1:], before[flat[:-1]], 0.0)
-                emit[:-1] += np.where(inside[1:], after[flat[1:]], 0.0)
+                emit[1:] += before[flat[:-1]] * inside[1:]
+                emit[:-1] += after[flat[1:]] * inside[1:]
                 order = np.argsort(size, kind="stable")
-                for a in range(0, len(order), 8192):
-                    pick = order[a : a + 8192]
+                for a in range(0, len(order), 2048):
+                    pick = order[a : a + 2048]
                     values, at = padded(emit, start[pick], size[pick])
-                    chance, _, _ = forward_backward(values, size[pick], self.field.steps, self.field.start)
-                    out[at[at >= 0]] = chance[at >= 0]
+                    chance = toxic_chances(
+                        np.ascontiguousarray(values.T), size[pick], self.field.steps, self.field.start
+                    ).T
+                    real = at >= 0
+                    out[at[real]] = chance[real]
         return np.split(out, np.cumsum(lengths)[:-1]) if len(lengths) else []
 
 
