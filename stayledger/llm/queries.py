@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, mixing, quality, rules, secrets, sharding, toxicity, warc
+from . import chat, decontaminate, mixing, near, quality, rules, secrets, sharding, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_chat": chat.op4_chat,
     "op5_rules": rules.op5_rules,
+    "op6_near": near.op6_near,
     "op7_decontaminate": decontaminate.op7_decontaminate,
     "op8_quality": quality.op8_quality,
     "op9_mixing": mixing.op9_mixing,
