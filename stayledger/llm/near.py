@@ -62,7 +62,7 @@ class Shingles:
     def __init__(self, size: int) -> None:
         self.size, self.words = size, _Words()
 
-    def of(self, text: str) -> np.ndarray:
+    def of(self, text: str, *, distinct: bool = True) -> np.ndarray:
         if len(self.words) > 400_000:
             self.words.clear()
         h = np.fromiter(map(self.words.__getitem__, GAP.findall(text.lower())), np.uint64)
@@ -72,7 +72,7 @@ class Shingles:
         out = np.zeros(len(h) - take + 1, np.uint64)
         for k in range(take):
             out = _mixed(out * MIX + h[k : len(h) - take + 1 + k] + np.uint64(take))
-        return np.unique(out)
+        return np.unique(out) if distinct else out
 
 
 def signatures(docs: DataFrame, forest: Forest) -> DataFrame:
@@ -82,25 +82,25 @@ def signatures(docs: DataFrame, forest: Forest) -> DataFrame:
     """
     rng = np.random.default_rng(forest.seed)
     count = forest.trees * forest.prefix
-    odd = rng.integers(0, 2**63, count, dtype=np.int64).astype(np.uint64) | np.uint64(1)
-    plus = rng.integers(0, 2**63, count, dtype=np.int64).astype(np.uint64)
+    odd = rng.integers(0, 2**32, count, dtype=np.uint32) | np.uint32(1)
+    plus = rng.integers(0, 2**32, count, dtype=np.uint32)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(forest.shingle)
         for batch in batches:
             sizes, labels = [], []
             for text in batch["text"]:
-                s = shingles.of(text)
+                s = shingles.of(text, distinct=False)
                 sizes.append(len(s))
                 if not len(s):
                     labels.append([])
                     continue
-                least = np.full(count, np.iinfo(np.uint64).max, np.uint64)
-                for a in range(0, len(s), 2048):
-                    part = s[a : a + 2048]
-                    values = (part[None, :] * odd[:, None] + plus[:, None]) >> np.uint64(16)
+                least = np.full(count, np.iinfo(np.uint32).max, np.uint32)
+                short = (s >> np.uint64(32)).astype(np.uint32)
+                for a in range(0, len(s), 1024):
+                    values = short[None, a : a + 1024] * odd[:, None] + plus[:, None]
                     np.minimum(least, values.min(1), out=least)
-                prefix = least.reshape(forest.trees, forest.prefix)
+                prefix = least.astype(np.uint64).reshape(forest.trees, forest.prefix)
                 label = np.arange(forest.trees, dtype=np.uint64)
                 for k in range(forest.prefix):
                     label = _mixed(label * MIX + prefix[:, k])
@@ -122,97 +122,138 @@ def shingle_sets(docs: DataFrame, forest: Forest) -> DataFrame:
     return docs.mapInPandas(cut, "key string, grams array<long>")
 
 
-def loose_links(members: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
-    """Links (a, b) such that both ends of every similar pair that shares a bucket are connected.
+ROUNDS = 2
+LOOSE = 0.5  # similarity from which a text joins the group of a bucket's centre
 
-    In each bucket the smallest key is the centre, and all members are compared with it, exactly.
-    Jaccard distance is a metric. With d = 1 - threshold, a member within 2d of the centre cannot be
-    similar to a text more than 3d away, so it is done; members within 3d are linked to the centre;
-    those beyond 2d stay for the next round, with a new centre. So a bucket of g copies takes g
-    comparisons, not all pairs, and no pair is lost. Rounds end when no bucket has two members.
+
+def mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(label, key, root) of the buckets whose members are of several groups."""
+    rooted = members.select("label", "key").join(roots.withColumnRenamed("id", "key"), "key")
+    state = rooted.groupBy("label").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = file_stage(state.where("low <> high").select("label"), "mixed")
+    return rooted.join(mixed, "label")
+
+
+def loose_groups(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups of texts (id, root), and the buckets that still hold several of them.
+
+    In each round every bucket of several groups has a centre, another one each time, and every key
+    is compared with one centre of another group: as many comparisons as keys, not pairs. Texts
+    that share LOOSE of their shingles join their groups. Copies of one text are soon one group, and
+    a bucket of one group needs nothing more; the few others are compared whole by `cross_links`.
     """
-    near, far = 2 * (1 - forest.threshold), 3 * (1 - forest.threshold)
-    if far >= 1:
-        raise ValueError("the threshold must be above 2/3")
-    sized = sets.select("key", "grams")
-    links: list[DataFrame] = []
-    left = members
-    while True:
-        centres = left.groupBy("label").agg(F.min("key").alias("centre"))
-        crowded = file_stage(left.join(centres, "label").where("key <> centre"), "members")
-        pairs = file_stage(crowded.select("centre", "key").distinct(), "pairs")
-        if not pairs.limit(1).count():
-            break
-        right = sized.select(F.col("key").alias("centre"), F.col("grams").alias("centre_grams"))
-        met = pairs.join(sized, "key").join(right, "centre")
+    right = sets.select(F.col("key").alias("centre"), F.col("grams").alias("centre_grams"))
+    links = sets.select(F.col("key").alias("a"), F.col("key").alias("b"))
+    roots = sets.select(F.col("key").alias("id"), F.col("key").alias("root"))
+    for k in range(ROUNDS):
+        crowded = file_stage(mixed_buckets(members, roots), "members")
+        if not crowded.limit(1).count():
+            return roots, crowded
+        first = F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("h"), "key", "root")).alias("first")
+        centres = crowded.groupBy("label").agg(first)
+        pairs = (
+            crowded.join(centres, "label")
+            .where("root <> first.root")
+            .groupBy("key")
+            .agg(F.min("first.key").alias("centre"))
+        )
+        met = file_stage(pairs, "pairs").join(sets.select("key", "grams"), "key").join(right, "centre")
         shared = F.size(F.array_intersect("grams", "centre_grams"))
-        apart = 1 - shared / (F.size("grams") + F.size("centre_grams") - shared)
-        judged = file_stage(met.select("centre", "key", apart.alias("apart")), "judged")
-        links.append(judged.where(F.col("apart") <= far + 1e-9).select(F.col("centre").alias("a"), F.col("key").alias("b")))
-        open_pairs = judged.where(F.col("apart") > near + 1e-9).select("centre", "key")
-        if not open_pairs.limit(1).count():
-            break
-        left = file_stage(crowded.join(open_pairs, ["centre", "key"]).select("label", "key"), "left")
-    out = links[0] if links else members.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
-    for more in links[1:]:
-        out = out.union(more)
-    return out
+        alike = shared / (F.size("grams") + F.size("centre_grams") - shared)
+        found = met.where(alike >= LOOSE).select(F.col("centre").alias("a"), F.col("key").alias("b"))
+        links = file_stage(links.union(found), "links")
+        roots = components(links)
+    return roots, file_stage(mixed_buckets(members, roots), "members")
 
 
 # A block of a group holds about this many shingles and texts; blocks meet in pairs.
 BLOCK_SHINGLES, BLOCK_TEXTS = 200_000, 256
 
 
-def verified(groups: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
-    """(key, links, near) per text and pair of blocks of its group: how many documents of other texts
-    are similar to it there, and the smallest text that it is connected to.
+def dealt(groups: DataFrame, sets: DataFrame, by: str) -> DataFrame:
+    """`groups` with shingles, in meetings of two blocks (one, two) of the same `by`.
 
-    `groups` is (key, root, copies). A group is dealt into blocks by hash, in proportion to its
-    size. Every pair of blocks is one task group that compares all its texts exactly, by products of
-    incidence matrices, and emits one row per text, never one per pair.
+    A group is dealt into blocks by hash, in proportion to its size, and every pair of blocks meets.
     """
-    held = groups.join(sets.select("key", "grams"), "key").withColumn("n", F.size("grams"))
-    sizes = groups.join(sets.select("key", F.size("grams").alias("n")), "key").groupBy("root").agg(
-        F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_TEXTS)).cast("int").alias("blocks")
+    sizes = groups.join(sets.select("key", F.size("grams").alias("n")), "key").groupBy(by).agg(
+        F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_TEXTS))
+        .cast("int")
+        .alias("blocks")
     )
-    dealt = held.join(file_stage(sizes, "blocks"), "root").withColumn(
-        "block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    placed = groups.join(file_stage(sizes, "blocks"), by).withColumn("block", block)
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    meeting = file_stage(placed.select("*", others), "meetings")
+    return (
+        meeting.join(sets.select("key", "grams"), "key")
+        .withColumn("one", F.least("block", "other"))
+        .withColumn("two", F.greatest("block", "other"))
+        .drop("other", "blocks")
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    meeting = dealt.select("root", "key", "copies", "grams", "block", other.alias("other")).select(
-        "root",
-        F.least("block", "other").alias("one"),
-        F.greatest("block", "other").alias("two"),
-        "block",
-        "key",
-        "copies",
-        "grams",
+
+
+def shared_shingles(grams: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """How many shingles each of `rows` shares with each text, by products of incidence matrices."""
+    values, at = np.unique(np.concatenate(grams), return_inverse=True)
+    owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], owner[order]
+    out = np.zeros((len(rows), len(grams)), np.float32)
+    for low in range(0, len(values), 4096):
+        a, b = np.searchsorted(at, (low, low + 4096))
+        present = np.zeros((len(grams), min(4096, len(values) - low)), np.float32)
+        present[owner[a:b], at[a:b] - low] = 1
+        out += present[rows] @ present.T
+    return out
+
+
+def similar(grams: list[np.ndarray], rows: np.ndarray, threshold: float) -> np.ndarray:
+    size = np.array([len(g) for g in grams], np.float64)
+    shared = shared_shingles(grams, rows)
+    return shared >= threshold * (size[rows, None] + size[None, :] - shared) - 1e-6
+
+
+def cross_links(mixed: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
+    """(a, b): links between groups that share a bucket, one per text of the smaller sides."""
+    threshold = forest.threshold
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("key", kind="stable").reset_index(drop=True)
+        root, key = rows["root"].to_numpy(), rows["key"].to_numpy()
+        names, count = np.unique(root, return_counts=True)
+        few = np.flatnonzero(root != names[count.argmax()])
+        if not len(few):
+            return pd.DataFrame({"a": [], "b": []}, dtype=object)
+        alike = similar([np.asarray(g) for g in rows["grams"]], few, threshold)
+        alike &= root[few, None] != root[None, :]
+        i, j = np.nonzero(alike)
+        pairs = pd.DataFrame({"a": key[few[i]], "b": key[j], "to": root[j]})
+        return pairs.drop_duplicates(["a", "to"])[["a", "b"]]
+
+    return dealt(mixed, sets, "label").groupBy("label", "one", "two").applyInPandas(
+        compare, "a string, b string"
     )
+
+
+def verified(groups: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
+    """(key, links, near) per text and meeting of blocks of its group: how many documents of other
+    texts are similar to it there, and the smallest text that it is connected to.
+
+    `groups` is (key, root, copies). Every meeting is one task group that compares all its texts
+    exactly and emits one row per text, never one per pair.
+    """
     threshold = forest.threshold
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("key", kind="stable").reset_index(drop=True)
-        grams = [np.asarray(g) for g in rows["grams"]]
-        size = np.array([len(g) for g in grams], float)
-        values, at = np.unique(np.concatenate(grams), return_inverse=True)
-        owner = np.repeat(np.arange(len(rows)), size.astype(int))
-        order = np.argsort(at, kind="stable")
-        at, owner = at[order], owner[order]
-        shared = np.zeros((len(rows), len(rows)), np.float32)
-        for low in range(0, len(values), 4096):
-            a, b = np.searchsorted(at, (low, low + 4096))
-            present = np.zeros((len(rows), min(4096, len(values) - low)), np.float32)
-            present[owner[a:b], at[a:b] - low] = 1
-            shared += present @ present.T
-        joint = size[:, None] + size[None, :] - shared
-        alike = shared >= threshold * joint - 1e-6
+        every = np.arange(len(rows))
+        alike = similar([np.asarray(g) for g in rows["grams"]], every, threshold)
         block = rows["block"].to_numpy()
-        one, two = rows["one"].iloc[0], rows["two"].iloc[0]
-        if one != two:  # pairs inside a block are counted where it meets itself
+        if rows["one"].iloc[0] != rows["two"].iloc[0]:  # a block's own pairs count where it meets itself
             alike &= block[:, None] != block[None, :]
         np.fill_diagonal(alike, False)
         links = alike @ rows["copies"].to_numpy().astype(np.int64)
-        near = np.arange(len(rows))
+        near = every.copy()
         while True:
             heard = np.where(alike, near[None, :], len(rows)).min(1)
             new = np.minimum(near, heard)
@@ -223,7 +264,7 @@ def verified(groups: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
         keys = rows["key"].to_numpy()
         return pd.DataFrame({"key": keys, "links": links.astype("int64"), "near": keys[near]})
 
-    return meeting.groupBy("root", "one", "two").applyInPandas(
+    return dealt(groups, sets, "root").groupBy("root", "one", "two").applyInPandas(
         compare, "key string, links long, near string"
     )
 
@@ -248,7 +289,12 @@ def similar_texts(df: DataFrame, forest: Forest, id_col: str, text_col: str) ->
         shingle_sets(rows.join(wanted, "key").select("key", "text"), forest).dropDuplicates(["key"]),
         "sets",
     )
-    loose = components(file_stage(loose_links(members, sets, forest), "loose"))
+    loose, mixed = loose_groups(members, sets)
+    across = file_stage(cross_links(mixed, sets, forest), "across")
+    own = loose.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    loose = components(own.union(across))
+    sizes = loose.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
+    loose = loose.join(file_stage(sizes, "sizes"), "root")
     groups = file_stage(loose.join(copies.select("key", "copies"), F.col("id") == F.col("key")).select(
         "key", "root", "copies"
     ), "groups")

@@ -87,9 +87,12 @@ def write_archives(
     uri_col: str = "url",
     payload_col: str = "html",
     min_bytes: int = 0,
+    compression: str = "gzip",
 ) -> None:
     """One WARC record per row of `pages`, one archive per task, below `path`.
 
+    Archives are compressed as whole files by default; "none" gives files that are read in splits.
+
     Of rows with equal payloads of at least `min_bytes` bytes the one with the largest id is the
     response and the others are revisits of it; rows that repeat that id are all responses. A null
     payload is empty, a null id is written as `null` and is always a response, control characters
@@ -101,7 +104,11 @@ def write_archives(
         text_of(payload_col).alias("payload"),
     )
     typed = with_types(rows, min_bytes)
-    typed.select(record(typed).alias("value")).write.option("lineSep", BREAK).text(path)
+    (
+        typed.select(record(typed).alias("value"))
+        .write.option("lineSep", BREAK)
+        .text(path, compression=compression)
+    )
 
 
 def header_field(header: Column, name: str) -> Column:
@@ -109,9 +116,13 @@ def header_field(header: Column, name: str) -> Column:
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The archives cut behind every occurrence of the magic, written once: file, split, seq (order
-    in the split), size (bytes with the magic), skip (bytes from the magic to the next record, if
-    the piece starts with a header that tells its length) and the piece itself."""
+    """The archives cut behind every occurrence of the magic: file (hash of its path), split, seq
+    (order of reading), size (bytes with the magic), skip (bytes from the magic to the next record,
+    if the piece starts with a header that tells its length) and the piece itself.
+
+    The archives are final files below the shared folder, so every reading gives the same rows; they
+    are read once for the chain and once for the payloads, and no copy of them is kept.
+    """
     header = F.substring_index("piece", BREAK, 1)
     length = header_field(header, "Content-Length")
     skip = (
@@ -121,15 +132,13 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
         + F.when(length.rlike("^[0-9]{1,18}$"), length.cast("long"))
     )
     raw = spark.read.option("lineSep", MAGIC).text(path).select(
-        F.col("_metadata.file_path").alias("file"),
+        F.xxhash64(F.col("_metadata.file_path")).alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("seq"),
         F.col("value").alias("piece"),
     )
     size = F.octet_length("piece").cast("long") + len(MAGIC)
-    return file_stage(
-        raw.select("file", "split", "seq", size.alias("size"), skip.alias("skip"), "piece"), "pieces"
-    )
+    return raw.select("file", "split", "seq", size.alias("size"), skip.alias("skip"), "piece")
 
 
 def candidates(cut: DataFrame) -> DataFrame:
@@ -139,7 +148,7 @@ def candidates(cut: DataFrame) -> DataFrame:
     in its file end, so no task sees more than the sizes of one split. The piece before the first
     magic of a file (empty in a well-formed one) has the offset -10 and is no candidate.
     """
-    sizes = cut.select("file", "split", "seq", "size", "skip")
+    sizes = file_stage(cut.select("file", "split", "seq", "size", "skip"), "sizes")
     # One row per split: bounded by the size of the archives over the size of a split.
     held = sizes.groupBy("file", "split").agg(F.sum("size").alias("held"))
     before = held.selectExpr(
@@ -172,9 +181,9 @@ def reachable(links: DataFrame) -> DataFrame:
     reached = file_stage(known.where("off = 0"), "reached")
     count = reached.count()
     while True:
-        ahead = reached.join(jump, ["file", "off"]).select("file", F.col("next").alias("off"))
+        ahead = reached.join(jump.hint("merge"), ["file", "off"]).select("file", F.col("next").alias("off"))
         found = file_stage(
-            ahead.union(reached).distinct().join(known, ["file", "off"], "left_semi"), "reached"
+            ahead.union(reached).distinct().join(known.hint("merge"), ["file", "off"], "left_semi"), "reached"
         )
         now = found.count()
         if now == count:
@@ -182,7 +191,7 @@ def reachable(links: DataFrame) -> DataFrame:
         reached, count = found, now
         second = jump.select("file", F.col("off").alias("next"), F.col("next").alias("far"))
         jump = file_stage(
-            jump.join(second, ["file", "next"]).select("file", "off", F.col("far").alias("next")),
+            jump.join(second.hint("merge"), ["file", "next"]).select("file", "off", F.col("far").alias("next")),
             "jump",
         )
 
@@ -193,7 +202,8 @@ def owners(found: DataFrame, chain: DataFrame) -> DataFrame:
     It is the last reached offset at or before the piece: inside its split, else the last one of an
     earlier split (one row per split). Pieces before any record have no owner.
     """
-    marked = found.join(chain.withColumn("real", F.lit(True)), ["file", "off"], "left")
+    real = chain.withColumn("real", F.lit(True)).hint("merge")
+    marked = found.join(real, ["file", "off"], "left")
     inside = marked.selectExpr(
         "file",
         "split",
@@ -230,7 +240,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     found = file_stage(candidates(cut), "candidates")
     plan = file_stage(owners(found, reachable(found)), "plan")
     on = ["file", "split", "seq"]
-    bodies = cut.select(*on, "piece").join(plan, on)
+    bodies = cut.select(*on, "piece").join(plan.hint("merge"), on)
     single = bodies.where("parts IS NULL").select("file", "off", F.col("piece").alias("body"))
     part = F.struct("off", "piece").alias("part")
     several = (
