@@ -25,15 +25,15 @@ def components(edges: DataFrame) -> DataFrame:
     )
     while True:
         heard = (
-            both.join(roots.withColumnRenamed("id", "b"), "b")
+            both.join(roots.withColumnRenamed("id", "b").hint("merge"), "b")
             .groupBy(F.col("a").alias("id"))
             .agg(F.min("root").alias("near"))
         )
-        own = roots.join(heard, "id").select("id", "root", F.least("root", "near").alias("near"))
+        own = roots.join(heard.hint("merge"), "id").select("id", "root", F.least("root", "near").alias("near"))
         nearer = file_stage(own, "nearer")
         jump = nearer.select(F.col("id").alias("near"), F.col("near").alias("far"))
         moved = file_stage(
-            nearer.join(jump, "near").select(
+            nearer.join(jump.hint("merge"), "near").select(
                 "id", F.least("near", "far").alias("root"), (F.col("root") != F.least("near", "far")).alias("new")
             ),
             "roots",

@@ -40,6 +40,11 @@ class Forest:
         raise ValueError("more trees are needed for this recall")
 
 
+def grown(df: DataFrame) -> DataFrame:
+    """A side that grows with the corpus: joined by shuffle at every size, never broadcast."""
+    return df.hint("merge")
+
+
 class _Words(dict):
     def __missing__(self, word: str) -> int:
         raw = word.encode()
@@ -128,10 +133,10 @@ LOOSE = 0.5  # similarity from which a text joins the group of a bucket's centre
 
 def mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
     """(label, key, root) of the buckets whose members are of several groups."""
-    rooted = members.select("label", "key").join(roots.withColumnRenamed("id", "key"), "key")
+    rooted = members.select("label", "key").join(grown(roots.withColumnRenamed("id", "key")), "key")
     state = rooted.groupBy("label").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = file_stage(state.where("low <> high").select("label"), "mixed")
-    return rooted.join(mixed, "label")
+    return rooted.join(grown(mixed), "label")
 
 
 def loose_groups(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -152,12 +157,13 @@ def loose_groups(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
         first = F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("h"), "key", "root")).alias("first")
         centres = crowded.groupBy("label").agg(first)
         pairs = (
-            crowded.join(centres, "label")
+            crowded.join(grown(centres), "label")
             .where("root <> first.root")
             .groupBy("key")
             .agg(F.min("first.key").alias("centre"))
         )
-        met = file_stage(pairs, "pairs").join(sets.select("key", "grams"), "key").join(right, "centre")
+        compared = file_stage(pairs, "pairs")
+        met = compared.join(grown(sets.select("key", "grams")), "key").join(grown(right), "centre")
         shared = F.size(F.array_intersect("grams", "centre_grams"))
         alike = shared / (F.size("grams") + F.size("centre_grams") - shared)
         found = met.where(alike >= LOOSE).select(F.col("centre").alias("a"), F.col("key").alias("b"))
@@ -175,17 +181,17 @@ def dealt(groups: DataFrame, sets: DataFrame, by: str) -> DataFrame:
 
     A group is dealt into blocks by hash, in proportion to its size, and every pair of blocks meets.
     """
-    sizes = groups.join(sets.select("key", F.size("grams").alias("n")), "key").groupBy(by).agg(
+    sizes = groups.join(grown(sets.select("key", F.size("grams").alias("n"))), "key").groupBy(by).agg(
         F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_TEXTS))
         .cast("int")
         .alias("blocks")
     )
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    placed = groups.join(file_stage(sizes, "blocks"), by).withColumn("block", block)
+    placed = groups.join(grown(file_stage(sizes, "blocks")), by).withColumn("block", block)
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     meeting = file_stage(placed.select("*", others), "meetings")
     return (
-        meeting.join(sets.select("key", "grams"), "key")
+        meeting.join(grown(sets.select("key", "grams")), "key")
         .withColumn("one", F.least("block", "other"))
         .withColumn("two", F.greatest("block", "other"))
         .drop("other", "blocks")
@@ -273,29 +279,31 @@ def similar_texts(df: DataFrame, forest: Forest, id_col: str, text_col: str) ->
     """One row per different text: key (its digest), first (smallest id), copies, root (digest that
     names the class, null for a text without words), links (documents of other, similar texts)."""
     key = F.md5(text_of(text_col))
-    rows = df.select(key.alias("key"), text_of(text_col).alias("text"))
+    rows = df.select(key.alias("key"), col(id_col).alias("id"), text_of(text_col).alias("text"))
     copies = file_stage(
         df.select(key.alias("key"), col(id_col).alias("id")).groupBy("key").agg(
             F.min("id").alias("first"), F.count(F.lit(1)).alias("copies")
         ),
         "copies",
     )
-    signed = file_stage(signatures(rows, forest).dropDuplicates(["key"]), "signatures")
+    signed = file_stage(signatures(rows.select("key", "text"), forest).dropDuplicates(["key"]), "signatures")
     flat = signed.select("key", F.explode_outer("labels").alias("label")).where("label IS NOT NULL")
     busy = flat.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("label")
-    members = file_stage(flat.join(file_stage(busy, "buckets"), "label"), "members")
-    wanted = file_stage(members.select("key").distinct(), "wanted")
+    members = file_stage(flat.join(grown(file_stage(busy, "buckets")), "label"), "members")
+    # One row per text: copies differ in their id, so a text with many copies is read from many places.
+    wanted = members.select("key").distinct().join(grown(copies.select("key", "first")), "key")
+    named = grown(file_stage(wanted.select(F.col("key").alias("of"), "first"), "wanted"))
+    single = rows.join(named, (F.col("key") == F.col("of")) & F.col("id").eqNullSafe(F.col("first")))
     sets = file_stage(
-        shingle_sets(rows.join(wanted, "key").select("key", "text"), forest).dropDuplicates(["key"]),
-        "sets",
+        shingle_sets(single.select("key", "text"), forest).dropDuplicates(["key"]), "sets"
     )
     loose, mixed = loose_groups(members, sets)
     across = file_stage(cross_links(mixed, sets, forest), "across")
     own = loose.select(F.col("id").alias("a"), F.col("root").alias("b"))
     loose = components(own.union(across))
     sizes = loose.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
-    loose = loose.join(file_stage(sizes, "sizes"), "root")
-    groups = file_stage(loose.join(copies.select("key", "copies"), F.col("id") == F.col("key")).select(
+    loose = loose.join(grown(file_stage(sizes, "sizes")), "root")
+    groups = file_stage(loose.join(grown(copies.select("key", "copies")), F.col("id") == F.col("key")).select(
         "key", "root", "copies"
     ), "groups")
     checked = file_stage(verified(groups, sets, forest), "checked")
@@ -303,8 +311,8 @@ def similar_texts(df: DataFrame, forest: Forest, id_col: str, text_col: str) ->
     classes = components(
         file_stage(checked.select(F.col("key").alias("a"), F.col("near").alias("b")).distinct(), "strict")
     )
-    found = links.join(classes.withColumnRenamed("id", "key"), "key", "left")
-    texts = copies.join(signed.select("key", "size"), "key").join(found, "key", "left")
+    found = links.join(grown(classes.withColumnRenamed("id", "key")), "key", "left")
+    texts = copies.join(grown(signed.select("key", "size")), "key").join(grown(found), "key", "left")
     return texts.select(
         "key",
         "first",
@@ -331,7 +339,7 @@ def near_duplicates(
     texts = file_stage(similar_texts(df, forest, id_col, text_col), "texts")
     ids = texts.where("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("class_id"))
     named = file_stage(
-        texts.join(ids, "root", "left").select(
+        texts.join(grown(ids), "root", "left").select(
             F.col("key").alias("_of"), "root", "class_id", "copies", "links"
         ),
         "named",
@@ -339,7 +347,7 @@ def near_duplicates(
     mark = free_names(df, "_key")[0]
     rows = df.select(*kept, F.md5(text_of(text_col)).alias(mark))
     blank = F.col("root").isNull()
-    return rows.join(named, col(mark) == F.col("_of"), "left").select(
+    return rows.join(grown(named), col(mark) == F.col("_of"), "left").select(
         *kept,
         F.when(blank, col(id_col)).otherwise(F.col("class_id")).alias("class_id"),
         F.when(blank, F.lit(0)).otherwise(F.col("links") + F.col("copies") - 1).cast("long").alias("links"),
@@ -367,10 +375,12 @@ def keep_one(
         "kept",
     )
     mark = free_names(df, "_key")[0]
-    met = df.withColumn(mark, F.md5(text_of(text_col))).join(kept, col(mark) == F.col("_of"))
-    only = met.where(F.col("_one") & col(id_col).eqNullSafe(F.col("_first")))
-    rest = met.where(~F.col("_one"))
+    marked = df.withColumn(mark, F.md5(text_of(text_col)))
     names = [col(c) for c in df.columns]
+    # Copies of a text differ in their id, so they meet their class in different places.
+    own = grown(kept.where("_one"))
+    only = marked.join(own, (col(mark) == F.col("_of")) & col(id_col).eqNullSafe(F.col("_first")))
+    rest = marked.join(grown(kept.where("NOT _one").select("_of")), col(mark) == F.col("_of"))
     return only.dropDuplicates([mark]).select(*names).unionByName(rest.select(*names))
 
 
