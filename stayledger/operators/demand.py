@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import month_angle
-from ..session import settle
+from ..session import null_safe_join, settle
 
 LAGS = (1, 2, 3, 12)
 ROLLS = (3, 6)
@@ -53,7 +53,7 @@ def densify(series: DataFrame, period: str, keys: Sequence[str] = ()) -> DataFra
     spans = series.groupBy(*keys).agg(F.min(index).alias("_lo"), F.max(index).alias("_hi"))
     months = spans.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias("_i"))
     calendar = months.select(*keys, _period_of_index(F.col("_i")).alias(period))
-    full = calendar.join(series, [*keys, period], "left")
+    full = null_safe_join(calendar, series, [*keys, period], "left")
     zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("gross_bookings", "cancellations", "realised_demand")}
     return full.withColumns(
         {

@@ -120,8 +120,10 @@ def oversample_minority(
 
     Takes one training fold only, so nothing it makes can touch validation rows. Each synthetic row
     lies on the segment between a minority row and one of its neighbours. Returns target + features.
+    Rows without a label stay and are no class.
     """
-    counts = {r[target]: r["count"] for r in train.groupBy(target).count().collect()}
+    labelled = train.where(F.col(target).isNotNull())
+    counts = {r[target]: r["count"] for r in labelled.groupBy(target).count().collect()}
     kept = train.select(target, *[F.col(f).cast("double").alias(f) for f in features])
     if len(counts) != 2:
         return kept
@@ -141,13 +143,13 @@ def oversample_minority(
     copies = near.join(extra, "id", "left").withColumn(
         "copies", F.lit(whole) + F.coalesce("more", F.lit(0))
     )
-    draws = copies.where("copies > 0 and size(near) > 0").select(
+    draws = copies.where("copies > 0").select(
         "id", "x", "near", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
     )
     tag = F.concat_ws("/", F.col("id").cast("string"), F.col("copy").cast("string"))
-    pick = F.pmod(hash_rank_key(tag, f"mate-{seed}"), F.size("near")).cast("int")
+    pick = F.pmod(hash_rank_key(tag, f"mate-{seed}"), F.greatest(F.size("near"), F.lit(1))).cast("int")
     step = hash_rank_key(tag, f"step-{seed}") / F.lit(float(1 << 52))
-    mate = F.get("near", pick)["x"]
+    mate = F.coalesce(F.get("near", pick)["x"], F.col("x"))  # alone in its range: itself
     made = draws.select(
         F.lit(minority).cast(train.schema[target].dataType).alias(target),
         F.zip_with(F.col("x"), mate, lambda a, b: a + step * (b - a)).alias("made"),

@@ -81,9 +81,11 @@ def threshold_counts(
     """tp, fp, fn, tn at every threshold from one pass.
 
     A row falls into the cell "how many thresholds it reaches"; the few cells are then summed up.
+    Rows without a score or a label are left out.
     """
     reached = total([F.when(F.col(score) >= F.lit(t), 1).otherwise(0) for t in thresholds])
-    cells = df.groupBy(reached.alias("reached")).agg(
+    known = df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    cells = known.groupBy(reached.alias("reached")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     packed = cells.agg(F.collect_list(F.struct("reached", "pos", "neg")).alias("cells"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import as_col, nan_to_null
+from ..session import null_safe_join
 
 SORT_LIMIT = 250_000  # rows one task may sort when selecting a rank
 GRID = 512  # sketch points per column
@@ -362,7 +363,7 @@ def running_totals(
     inner_order = F.col(value).desc() if descending else F.col(value).asc()
     inner = Window.partitionBy(*keys, range_col).orderBy(inner_order)
     return (
-        groups.join(offsets, [*keys, range_col])
+        null_safe_join(groups, offsets, [*keys, range_col])
         .withColumns({f"{prefix}{s}": F.col(f"_o_{s}") + F.sum(s).over(inner) for s in sums})
         .drop(*[f"_o_{s}" for s in sums])
     )
@@ -389,7 +390,7 @@ def row_positions(
     )
     inner = Window.partitionBy(*cells).orderBy(id_col)
     return (
-        cut.join(offsets, cells)
+        null_safe_join(cut, offsets, cells)
         .withColumn(out, F.col("_before") + F.row_number().over(inner) - 1)
         .drop("_before", "_range")
     )

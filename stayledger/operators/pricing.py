@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import revenue_at
+from ..session import null_safe_join
 
 # Grid bounds relative to the reference price, grid size, default elasticity.
 LOW_FACTOR = 0.6
@@ -113,7 +114,7 @@ def price_for_period(
     `ref_price` defaults to a `ref_price` column of the forecasts.
     """
     if keys:
-        joined = forecasts.join(cancel_rates, list(keys))
+        joined = null_safe_join(forecasts, cancel_rates, keys)
     else:  # a single portfolio rate
         rate = cancel_rates.first()["base_cancel"]
         joined = forecasts.withColumn("base_cancel", F.lit(rate).cast("double"))

@@ -79,10 +79,17 @@ def anova_f(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
 
 
 def _assemble(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    cut = df.select(F.col(target).cast("double").alias("label"), *features)
+    """Feature vectors of the rows with a label; a missing feature counts as the mean of the others."""
+    cut = df.select(F.col(target).cast("double").alias("label"), *features).where("label IS NOT NULL")
+    means = cut.agg(*[F.avg(F.nanvl(F.col(f).cast("double"), F.lit(None))).alias(f) for f in features])
+    centre = means.first()
+    filled = {
+        f: F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(None)), F.lit(centre[f] or 0.0))
+        for f in features
+    }
     return VectorAssembler(
-        inputCols=list(features), outputCol="features", handleInvalid="skip"
-    ).transform(cut)
+        inputCols=list(features), outputCol="features", handleInvalid="error"
+    ).transform(cut.withColumns(filled))
 
 
 def _scores(df: DataFrame, pairs) -> DataFrame:

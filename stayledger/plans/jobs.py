@@ -27,9 +27,9 @@ def prepare(
     raw: DataFrame, roles: Roles = Roles(), ceiling: float = 1000.0, test_size: float = 0.2
 ) -> tuple[DataFrame, DataFrame]:
     """Clean, split by time and impute the country from train."""
+    if roles.id not in raw.columns:  # before repairs, which can make different rows alike
+        raw = raw.withColumn(roles.id, F.md5(F.to_json(F.struct("*"))))
     cleaned = with_period(clean(raw, roles, ceiling), roles)
-    if roles.id not in cleaned.columns:
-        cleaned = cleaned.withColumn(roles.id, F.md5(F.to_json(F.struct("*"))))
     train, test, _ = time_split(stage(cleaned, "cleaned"), "period", test_size)
     (train, test), _ = impute_mode(train, [test], "country", with_flag=True)
     return train, test

@@ -215,17 +215,17 @@ BASELINE = 0.36
             AS retrain, round(pr_auc, 4) AS current_prauc, {BASELINE}::DOUBLE AS baseline_prauc,
           concat_ws(' | ',
             CASE WHEN n_labeled < 200 THEN
-              printf('performance signal unreliable (only %d labeled; need 200)', n_labeled) END,
+              printf('too_few_labels: %d of 200', n_labeled) END,
             CASE WHEN ok AND pr_auc < 0.35 THEN
-                printf('PR-AUC %.3f below absolute floor 0.35', pr_auc)
-              WHEN ok AND fall > 0.1 THEN printf('PR-AUC dropped %.1f%% from baseline %.3f (limit 10%%)',
+                printf('precision_floor: %.3f < 0.35', pr_auc)
+              WHEN ok AND fall > 0.1 THEN printf('precision_fall: %.1f%% of %.3f, at most 10%%',
                 fall * 100, {BASELINE}::DOUBLE)
-              WHEN ok THEN printf('performance healthy (PR-AUC %.3f vs baseline %.3f)', pr_auc,
+              WHEN ok THEN printf('precision_kept: %.3f against %.3f', pr_auc,
                 {BASELINE}::DOUBLE) END,
             CASE WHEN overall_drift = 'significant_drift' THEN
-                'significant input drift on ' || array_to_string(top_drifted, ', ')
+                'inputs_shifted: ' || array_to_string(top_drifted, ', ')
               WHEN overall_drift = 'moderate_drift' THEN
-                'moderate input drift (watch, not yet retraining)' END) AS reasons
+                'inputs_moving' END) AS reasons
           FROM judged""",
     ),
 )

@@ -345,10 +345,10 @@ def _signed_effect(spark, sf):
         """ranked AS (SELECT booking_id, feature, c,
           row_number() OVER (PARTITION BY booking_id ORDER BY abs(c) DESC, feature) AS r FROM long)""",
         """tops AS (SELECT booking_id, string_agg(feature, ',' ORDER BY r) AS top_features,
-          round(sum(c), 4) + 0.0 AS top_sum FROM ranked WHERE r <= 3 GROUP BY booking_id)""",
-        select="SELECT booking_id, round(base, 4) AS base_value, round(base + "
+          round(sum(c), 9) + 0.0 AS top_sum FROM ranked WHERE r <= 3 GROUP BY booking_id)""",
+        select="SELECT booking_id, round(base, 9) AS base_value, round(base + "
         + " + ".join(f"c_{c}" for c in FEATURES)
-        + ", 4) + 0.0 AS prediction_logit, top_features, top_sum FROM contrib JOIN tops USING (booking_id)",
+        + ", 9) + 0.0 AS prediction_logit, top_features, top_sum FROM contrib JOIN tops USING (booking_id)",
     ),
 )
 def _local_explanation(spark, sf):
@@ -363,7 +363,7 @@ def _local_explanation(spark, sf):
             F.array_join("top.feature", ",").alias("top_features"),
             top_sum.alias("top_sum"),
         ),
-        4,
+        9,
     )
 
 
@@ -376,15 +376,15 @@ def _local_explanation(spark, sf):
         "logits AS (SELECT booking_id, base + "
         + " + ".join(f"c_{c}" for c in FEATURES)
         + " AS z FROM contrib)",
-        select="""(SELECT booking_id, round(z, 4) AS prediction_logit, 'high' AS which FROM logits
+        select="""(SELECT booking_id, round(z, 9) AS prediction_logit, 'high' AS which FROM logits
             ORDER BY z DESC, booking_id LIMIT 1) UNION ALL
-          (SELECT booking_id, round(z, 4), 'low' FROM logits ORDER BY z, booking_id LIMIT 1)""",
+          (SELECT booking_id, round(z, 9), 'low' FROM logits ORDER BY z, booking_id LIMIT 1)""",
     ),
 )
 def _extreme_rows(spark, sf):
     rows, base = explained(spark, sf)
     local = X.local_explanations(rows, "booking_id", FEATURES, base)
-    return rounded(X.extreme_rows(local, "booking_id").select("booking_id", "prediction_logit", "which"), 4)
+    return rounded(X.extreme_rows(local, "booking_id").select("booking_id", "prediction_logit", "which"), 9)
 
 
 @query(

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -32,7 +36,8 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a local session without that setting gets a temporary folder of its own, which goes when
+    the process ends.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
@@ -44,7 +49,9 @@ def shared_root(spark: SparkSession) -> str:
     if current is None:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="stayledger-"))
+        own = tempfile.mkdtemp(prefix="stayledger-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         current = sc.getCheckpointDir()
     return current.rstrip("/")
 
@@ -55,6 +62,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on `keys`, where a missing key is a value like any other; the keys come once."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [left[f"`{k}`"].eqNullSafe(renamed[f"`_right_{k}`"]) for k in keys]
+    return left.join(renamed, reduce(Column.__and__, on), how).drop(*[f"_right_{k}" for k in keys])
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder for a written table or a stream checkpoint."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

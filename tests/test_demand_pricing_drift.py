@@ -180,12 +180,12 @@ def test_few_valued_numerics_are_compared_by_value(spark):
 @pytest.mark.parametrize(
     "ap,n,drift,retrain,words",
     [
-        (0.50, 500, "no_drift", False, ["healthy"]),
-        (0.30, 500, "no_drift", True, ["absolute floor"]),
-        (0.42, 500, "no_drift", True, ["dropped"]),
-        (0.30, 50, "no_drift", False, ["unreliable"]),
-        (0.50, 500, "significant_drift", True, ["healthy", "significant"]),
-        (0.50, 500, "moderate_drift", False, ["healthy", "watch"]),
+        (0.50, 500, "no_drift", False, ["precision_kept"]),
+        (0.30, 500, "no_drift", True, ["precision_floor"]),
+        (0.42, 500, "no_drift", True, ["precision_fall"]),
+        (0.30, 50, "no_drift", False, ["too_few_labels"]),
+        (0.50, 500, "significant_drift", True, ["precision_kept", "inputs_shifted"]),
+        (0.50, 500, "moderate_drift", False, ["precision_kept", "inputs_moving"]),
         (None, 500, "no_drift", False, []),
     ],
 )
