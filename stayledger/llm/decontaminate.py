@@ -230,7 +230,8 @@ def mark_contaminated(
         col(a).alias("_fa"), col(b).alias("_fb"), "n_hit", "items"
     )
     rows = kept.select("*", F.size(word_list(text)).cast("long").alias("n_words"), *keys)
-    joined = rows.join(found, (col(a) == F.col("_fa")) & (col(b) == F.col("_fb")), "left")
+    # Results grow with the corpus, so they are joined by shuffle at every size.
+    joined = rows.join(found.hint("merge"), (col(a) == F.col("_fa")) & (col(b) == F.col("_fb")), "left")
     return joined.select(
         *[col(c) for c in kept.columns],
         "n_words",
