@@ -31,13 +31,12 @@ def components(edges: DataFrame) -> DataFrame:
         )
         own = roots.join(heard.hint("merge"), "id").select("id", "root", F.least("root", "near").alias("near"))
         nearer = file_stage(own, "nearer")
+        if nearer.where("near < root").isEmpty():  # both ends of every edge have one root
+            return roots
         jump = nearer.select(F.col("id").alias("near"), F.col("near").alias("far"))
-        moved = file_stage(
-            nearer.join(jump.hint("merge"), "near").select(
-                "id", F.least("near", "far").alias("root"), (F.col("root") != F.least("near", "far")).alias("new")
-            ),
+        roots = file_stage(
+            nearer.select("id", "near")
+            .join(jump.hint("merge"), "near")
+            .select("id", F.least("near", "far").alias("root")),
             "roots",
         )
-        roots = moved.select("id", "root")
-        if not moved.where("new").limit(1).count():
-            return roots

@@ -143,24 +143,27 @@ def loose_groups(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
     """Groups of texts (id, root), and the buckets that still hold several of them.
 
     In each round every bucket of several groups has a centre, another one each time, and every key
-    is compared with one centre of another group: as many comparisons as keys, not pairs. Texts
-    that share LOOSE of their shingles join their groups. Copies of one text are soon one group, and
-    a bucket of one group needs nothing more; the few others are compared whole by `cross_links`.
+    is compared with the first centre of another group that its buckets have: as many comparisons as
+    keys, not pairs. Centres come in one order for all buckets, so that near copies mostly meet the
+    same one. Texts that share LOOSE of their shingles join their groups. Copies of one text are soon
+    one group, and a bucket of one group needs nothing more; the few others are compared whole by
+    `cross_links`.
     """
     right = sets.select(F.col("key").alias("centre"), F.col("grams").alias("centre_grams"))
     links = sets.select(F.col("key").alias("a"), F.col("key").alias("b"))
     roots = sets.select(F.col("key").alias("id"), F.col("key").alias("root"))
+    crowded = members.select("label", "key", F.col("key").alias("root"))
     for k in range(ROUNDS):
-        crowded = file_stage(mixed_buckets(members, roots), "members")
-        if not crowded.limit(1).count():
-            return roots, crowded
+        if crowded.isEmpty():
+            break
         first = F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("h"), "key", "root")).alias("first")
         centres = crowded.groupBy("label").agg(first)
         pairs = (
             crowded.join(grown(centres), "label")
             .where("root <> first.root")
             .groupBy("key")
-            .agg(F.min("first.key").alias("centre"))
+            .agg(F.min("first").alias("first"))
+            .select("key", F.col("first.key").alias("centre"))
         )
         compared = file_stage(pairs, "pairs")
         met = compared.join(grown(sets.select("key", "grams")), "key").join(grown(right), "centre")
@@ -169,7 +172,8 @@ def loose_groups(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFr
         found = met.where(alike >= LOOSE).select(F.col("centre").alias("a"), F.col("key").alias("b"))
         links = file_stage(links.union(found), "links")
         roots = components(links)
-    return roots, file_stage(mixed_buckets(members, roots), "members")
+        crowded = file_stage(mixed_buckets(members, roots), "members")
+    return roots, crowded
 
 
 # A block of a group holds about this many shingles and texts; blocks meet in pairs.
@@ -298,9 +302,10 @@ def similar_texts(df: DataFrame, forest: Forest, id_col: str, text_col: str) ->
         shingle_sets(single.select("key", "text"), forest).dropDuplicates(["key"]), "sets"
     )
     loose, mixed = loose_groups(members, sets)
-    across = file_stage(cross_links(mixed, sets, forest), "across")
-    own = loose.select(F.col("id").alias("a"), F.col("root").alias("b"))
-    loose = components(own.union(across))
+    if not mixed.isEmpty():
+        across = file_stage(cross_links(mixed, sets, forest), "across")
+        own = loose.select(F.col("id").alias("a"), F.col("root").alias("b"))
+        loose = components(own.union(across))
     sizes = loose.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
     loose = loose.join(grown(file_stage(sizes, "sizes")), "root")
     groups = file_stage(loose.join(grown(copies.select("key", "copies")), F.col("id") == F.col("key")).select(
@@ -308,9 +313,7 @@ def similar_texts(df: DataFrame, forest: Forest, id_col: str, text_col: str) ->
     ), "groups")
     checked = file_stage(verified(groups, sets, forest), "checked")
     links = checked.groupBy("key").agg(F.sum("links").alias("links"))
-    classes = components(
-        file_stage(checked.select(F.col("key").alias("a"), F.col("near").alias("b")).distinct(), "strict")
-    )
+    classes = components(checked.select(F.col("key").alias("a"), F.col("near").alias("b")))
     found = links.join(grown(classes.withColumnRenamed("id", "key")), "key", "left")
     texts = copies.join(grown(signed.select("key", "size")), "key").join(grown(found), "key", "left")
     return texts.select(
