@@ -46,9 +46,9 @@ def text_of(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 
 
-def file_stage(df: DataFrame, name: str) -> DataFrame:
+def file_stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """`df` written once below the shared folder, so that joins against it start from a scan."""
-    return stage(df, name)
+    return stage(df, name, **options)
 
 
 def joined_digest(parts: Column) -> Column:

@@ -116,12 +116,12 @@ def header_field(header: Column, name: str) -> Column:
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The archives cut behind every occurrence of the magic: file (hash of its path), split, seq
-    (order of reading), size (bytes with the magic), skip (bytes from the magic to the next record,
-    if the piece starts with a header that tells its length) and the piece itself.
+    """The archives cut behind every occurrence of the magic, written once: file (hash of its path),
+    split, seq (order of reading), size (bytes with the magic), skip (bytes from the magic to the
+    next record, if the piece starts with a header that tells its length) and the piece itself.
 
-    The archives are final files below the shared folder, so every reading gives the same rows; they
-    are read once for the chain and once for the payloads, and no copy of them is kept.
+    seq holds the number of the partition, and another scan may pack the files into other partitions,
+    so chain and payloads are both taken from this one compressed copy.
     """
     header = F.substring_index("piece", BREAK, 1)
     length = header_field(header, "Content-Length")
@@ -138,7 +138,8 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
         F.col("value").alias("piece"),
     )
     size = F.octet_length("piece").cast("long") + len(MAGIC)
-    return raw.select("file", "split", "seq", size.alias("size"), skip.alias("skip"), "piece")
+    cut = raw.select("file", "split", "seq", size.alias("size"), skip.alias("skip"), "piece")
+    return file_stage(cut, "pieces", compression="zstd")
 
 
 def candidates(cut: DataFrame) -> DataFrame:
@@ -148,7 +149,7 @@ def candidates(cut: DataFrame) -> DataFrame:
     in its file end, so no task sees more than the sizes of one split. The piece before the first
     magic of a file (empty in a well-formed one) has the offset -10 and is no candidate.
     """
-    sizes = file_stage(cut.select("file", "split", "seq", "size", "skip"), "sizes")
+    sizes = cut.select("file", "split", "seq", "size", "skip")
     # One row per split: bounded by the size of the archives over the size of a split.
     held = sizes.groupBy("file", "split").agg(F.sum("size").alias("held"))
     before = held.selectExpr(

@@ -76,11 +76,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write `df` once as a columnar table in the shared folder and read it back.
 
-    For data that several passes read: each later pass scans only the columns it needs.
+    For data that several passes read: each later pass scans only the columns it needs. `options`
+    go to the writer.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

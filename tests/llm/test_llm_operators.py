@@ -211,6 +211,30 @@ def test_archives_keep_payloads_that_hold_records(spark, compression):
     assert warc.read_archives(spark, empty).count() == 0
 
 
+@pytest.mark.parametrize("compression", ["gzip", "none"])
+def test_archives_survive_another_packing_of_the_files(spark, monkeypatch, compression):
+    pages = [(i, f"u{i}", words(i, 40)) for i in range(120)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(6)
+    path = work_path(spark, "test-archives")
+    warc.write_archives(table, path, compression=compression)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")  # all files in one partition
+    follow = warc.reachable
+
+    def repacked(links):  # between the chain and the payloads, as when executors come or go
+        out = follow(links)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "900b")
+        return out
+
+    monkeypatch.setattr(warc, "reachable", repacked)
+    try:
+        got = warc.read_archives(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert sorted((r.page_id, r.payload) for r in got) == [(i, html) for i, _, html in pages]
+
+
 def held(i):
     return zlib.crc32(str(i).encode()) % 4 == 2
 
