@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import base64
-import binascii
 import bisect
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,21 @@ ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+
 ESCAPED = re.compile(r"\\[uUx]([0-9A-Fa-f]+)")
 BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
 URLSAFE = re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")
-
-# Bytes that one compressed block may unpack to. A larger one is left packed and counted.
+# Runs that go on in the next lines; nothing is given back, so a scan is linear.
+WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}"
+)
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
+# Text between other bytes; no secret and no layer that holds one is shorter.
+STRETCH = re.compile(rb"[\t\r\n\x20-\x7e]{12,}")
+UNBROKEN = re.compile(rb"[A-Za-z0-9+/=_%\\\s-]+")
+
+# Bytes of a compressed block that are scanned at once; what is longer is scanned in windows that
+# share OVERLAP bytes. An xz block that needs more than twice the memory is left packed and counted.
 MAX_UNPACKED = 64 << 20
+OVERLAP = 1 << 20
+CHUNK = 1 << 20
 
 Span = tuple[str, int, int]
 Mapper = Callable[[int, int], tuple[int, int]]
@@ -49,24 +62,65 @@ def scan(text: str) -> list[Span]:
     return out
 
 
-def unpack(data: bytes) -> tuple[bytes | None, bool]:
-    """Content of a compressed block (or None), and whether it was too large to unpack."""
-    makers: list[Callable] = []
-    if data[:2] == b"\x1f\x8b":
-        makers = [lambda: zlib.decompressobj(31)]
-    elif data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-        makers = [lambda: zlib.decompressobj(15)]
-    elif data[:3] == b"BZh":
-        makers = [bz2.BZ2Decompressor]
-    elif data[:6] == b"\xfd7zXZ\x00":
-        makers = [lambda: lzma.LZMADecompressor(memlimit=MAX_UNPACKED * 2)]
-    for make in makers:
-        try:
-            out = make().decompress(data, MAX_UNPACKED + 1)
-        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-            return None, False
-        return (None, True) if len(out) > MAX_UNPACKED else (out, False)
-    return None, False
+def opener(data: bytes) -> Callable | None:
+    found = PACKED.match(data)
+    if not found:
+        return None
+    if data[:1] == b"\x1f":
+        return lambda: zlib.decompressobj(31)
+    if data[:1] == b"\x78":
+        return lambda: zlib.decompressobj(15)
+    if data[:1] == b"B":
+        return bz2.BZ2Decompressor
+    return lambda: lzma.LZMADecompressor(memlimit=MAX_UNPACKED * 2)
+
+
+def unpack(data: bytes, left: list[int]) -> Iterator[bytes | None]:
+    """Content of a compressed block and of the blocks that follow it, in chunks; None if it needs
+    too much memory. `left` gets the number of bytes behind the last block."""
+    while make := opener(data):
+        tool = make()
+        while not tool.eof:
+            try:
+                out = tool.decompress(data, CHUNK)
+            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError) as broken:
+                if isinstance(broken, lzma.LZMAError) and "limit" in str(broken):
+                    yield None
+                return
+            data = getattr(tool, "unconsumed_tail", b"")
+            if out:
+                yield out
+            elif not data:
+                break
+        data = tool.unused_data.lstrip(b"\0")
+        left[:] = [len(data)]
+
+
+def windows(chunks: Iterator[bytes | None]) -> Iterator[bytes | None]:
+    """The chunks as one block, or as overlapping ones if they are more than MAX_UNPACKED bytes; None
+    for what can't be read, or holds a run longer than the overlap at a cut."""
+    held = bytearray()
+    fresh = False
+    for chunk in chunks:
+        if chunk is None:
+            yield None
+            continue
+        held += chunk
+        fresh = True
+        while len(held) > MAX_UNPACKED:
+            cut = MAX_UNPACKED
+            while cut > MAX_UNPACKED - 4 and held[cut] & 0xC0 == 0x80:
+                cut -= 1
+            yield bytes(held[:cut])
+            back = cut - OVERLAP
+            if UNBROKEN.fullmatch(held, back, cut):
+                yield None
+            while back > cut - OVERLAP - 4 and held[back] & 0xC0 == 0x80:
+                back -= 1
+            del held[:back]
+            fresh = len(held) > cut - back
+    if fresh:
+        yield bytes(held)
 
 
 def readable(data: bytes) -> str | None:
@@ -127,67 +181,120 @@ def _escapes(run: str) -> str:
         return run
 
 
+def runs(text: str) -> Iterator[tuple[str, tuple[int, int], Callable[[int], int]]]:
+    """Runs that may be base64, in the plain alphabet and without padding, each with its span and
+    the way from its characters to their places in the text."""
+    for m in BASE64.finditer(text):
+        yield m.group().rstrip("="), m.span(), lambda i, m=m: m.start() + i
+    if "-" in text or "_" in text:
+        for m in URLSAFE.finditer(text):
+            if "-" in m.group() or "_" in m.group():
+                body = m.group().rstrip("=").replace("-", "+").replace("_", "/")
+                yield body, m.span(), lambda i, m=m: m.start() + i
+    if "\n" in text:
+        for m in WRAPPED.finditer(text):
+            lines = list(LINE.finditer(text, *m.span()))
+            body = "".join(x.group() for x in lines).replace("-", "+").replace("_", "/")
+            if len(body) < 16:
+                continue
+            starts = list(accumulate((len(x.group()) for x in lines[:-1]), initial=0))
+
+            def place(i: int, lines=lines, starts=starts) -> int:
+                k = bisect.bisect_right(starts, i) - 1
+                return lines[k].start() + i - starts[k]
+
+            yield body, m.span(), place
+
+
 def unwrapped(text: str) -> Iterator[tuple[str, Mapper] | None]:
-    """Texts one layer below `text`, each with its way back; None for a block too large."""
+    """Texts one layer below `text`, each with its way back; None for what can't be unpacked.
+
+    A base64 run may begin with other letters, such as a path, so it is decoded from each of its first
+    four characters. Compressed blocks may begin anywhere in the result.
+    """
     if "%" in text and (below := replaced(text, PERCENT.finditer(text), _percent)):
         yield below
     if "\\" in text and (below := replaced(text, ESCAPE.finditer(text), _escapes)):
         yield below
-    found = [(m, False) for m in BASE64.finditer(text)]
-    if "-" in text or "_" in text:
-        found += [
-            (m, True) for m in URLSAFE.finditer(text) if "-" in m.group() or "_" in m.group()
-        ]
-    for m, safe in found:
-        body = m.group().rstrip("=")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4), altchars=b"-_" if safe else None)
-        except (binascii.Error, ValueError):
-            continue
-        packed, over = unpack(data)
-        if over:
-            yield None
-        if packed is not None:
-            if inner := readable(packed):
-                yield inner, lambda s, e, m=m: m.span()
-        elif inner := readable(data):
-            exact = len(inner) == len(data)
-
-            def back(s: int, e: int, m=m, exact=exact, body=body) -> tuple[int, int]:
-                if not exact:
-                    return m.span()
-                return m.start() + s * 4 // 3, m.start() + min(len(body), -(-e * 4 // 3))
-
-            yield inner, back
+    for body, span, place in runs(text):
+        for off in range(4):
+            size = len(body) - off
+            size -= size % 4 == 1
+            if size < 4:
+                continue
+            data = base64.b64decode(body[off : off + size] + "=" * (-size % 4))
+            whole = [(0, 0)]  # blocks unpacked to their ends
+            for found in PACKED.finditer(data):
+                if found.start() < whole[-1][1]:
+                    continue
+                left: list[int] = []
+                for window in windows(unpack(data[found.start() :], left)):
+                    if window is None:
+                        yield None
+                    elif inner := readable(window):
+                        yield inner, lambda s, e, span=span: span
+                if left:
+                    whole.append((found.start(), len(data) - left[0]))
+
+            def back(s: int, e: int, at: int = 0, off=off, body=body, place=place) -> tuple[int, int]:
+                first = off + (at + s) * 4 // 3
+                last = min(len(body), off - (-(at + e) * 4 // 3))
+                return place(first), place(last - 1) + 1
+
+            if inner := readable(data):
+                yield inner, back if len(inner) == len(data) else lambda s, e, span=span: span
+            else:
+                for m in STRETCH.finditer(data):
+                    if any(a <= m.start() and m.end() <= b for a, b in whole):
+                        continue
+                    yield m.group().decode(), lambda s, e, m=m, back=back: back(s, e, m.start())
+
+
+def met(layer: str) -> str | bytes:
+    """What stands for a layer among those met: itself, or its digest if it is long."""
+    if len(layer) < 256:
+        return layer
+    return hashlib.blake2b(layer.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int, int]], int]:
-    """All secrets of a text as (kind, start, end, depth), and how many blocks were too large.
+    """All secrets of a text as (kind, start, end, depth), and how often a block could not be read whole.
 
-    A worklist holds layers with their way back to the text. Each layer is scanned, then unwrapped;
-    a layer met before at the same place is not followed again, which ends cycles.
+    Each layer is scanned, then unwrapped; the worklist holds what is still to be unwrapped, one layer
+    of each depth at a time. A layer met before at the same place and no deeper is not followed again,
+    which ends cycles.
     """
     spans: dict[Span, int] = {}
-    work: list[tuple[str, Mapper, int]] = [(text, lambda s, e: (s, e), 0)]
-    seen = {(0, len(text), text)}
+    seen = {(0, len(text), met(text)): 0}
     oversized = 0
-    while work:
-        layer, home, depth = work.pop()
+    work: list[tuple[Iterator, Mapper]] = []
+
+    def enter(layer: str, home: Mapper) -> None:
+        depth = len(work)
         for kind, s, e in scan(layer):
             key = (kind, *home(s, e))
             spans[key] = min(depth, spans.get(key, depth))
-        for below in unwrapped(layer):
-            if below is None:
-                oversized += 1
-                continue
-            inner, back = below
-            place = (*home(*back(0, len(inner))), inner) if inner else None
-            if place is None or place in seen:
-                continue
-            seen.add(place)
-            work.append((inner, lambda s, e, home=home, back=back: home(*back(s, e)), depth + 1))
+        work.append((unwrapped(layer), home))
+
+    enter(text, lambda s, e: (s, e))
+    while work:
+        layers, home = work[-1]
+        try:
+            below = next(layers)
+        except StopIteration:
+            work.pop()
+            continue
+        if below is None:
+            oversized += 1
+            continue
+        inner, back = below
+        if not inner:
+            continue
+        place = (*home(*back(0, len(inner))), met(inner))
+        if seen.get(place, len(work) + 1) <= len(work):
+            continue
+        seen[place] = len(work)
+        enter(inner, lambda s, e, home=home, back=back: home(*back(s, e)))
     rank = {k: i for i, k in enumerate(KINDS)}
     ordered = sorted(spans, key=lambda x: (x[1], rank[x[0]], x[2]))
     return [(*x, spans[x]) for x in ordered], oversized
@@ -224,7 +331,8 @@ def find_all(texts: pd.Series) -> pd.DataFrame:
 
 def find_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
     """`df` with `secrets` (kind, start, end, depth; code points, end excluded, sorted by start, then
-    kind) and `oversized` (compressed blocks beyond MAX_UNPACKED bytes, left packed).
+    kind) and `oversized` (compressed blocks that need too much memory, and cuts in runs too long for
+    the overlap of two windows).
 
     Depth 0 is the text itself; deeper spans were found below URL, Unicode, base64 or compressed
     layers and point at the place in the text that holds them. Null and empty texts have no spans.
@@ -264,5 +372,6 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
             count("hex").alias("n_hex"),
             joined_digest(shown("base")).alias("base_sha256"),
             F.array_join(shown("secrets"), ",").alias("spans"),
+            "oversized",
         )
     )

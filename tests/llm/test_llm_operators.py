@@ -1,7 +1,9 @@
 """Corpus operators on small tables: brute force, round trips and odd rows."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import zlib
 from urllib.parse import quote
 
@@ -84,6 +86,36 @@ def test_secrets_below_layers_map_back():
     assert secrets.find("") == ([], 0)
 
 
+def test_secrets_in_large_wrapped_prefixed_and_joined_blocks(monkeypatch):
+    plain = b"password=abc123def"
+
+    def found(text):
+        spans, over = secrets.find(text)
+        return [(k, text[a:b]) for k, a, b, _ in spans], over
+
+    for pack in (gzip.compress, bz2.compress, lzma.compress):
+        two = base64.b64encode(pack(b"nothing here, ") + pack(plain)).decode()
+        assert found("x " + two) == ([("assign", two)], 0)
+    noise = "".join(f"{i * 7919 % 10007} " for i in range(400)).encode()
+    flat = base64.b64encode(gzip.compress(noise + plain, mtime=0)).decode()
+    lines = "\n".join(flat[i : i + 76] for i in range(0, len(flat), 76))
+    assert ("assign", lines) in found(f"begin:\n\n{lines}\n")[0]
+    cut = base64.b64encode(b"some words before " * 2 + plain + b" and some after").decode()
+    lines = cut[:56] + "\r\n" + cut[56:]
+    assert any("\r\n" in part for _, part in found("x: " + lines)[0])
+    for prefix in ("/", "ab/", "path/", "a/path/"):
+        for body in (plain, gzip.compress(plain, mtime=0)):
+            assert found("http://h." + prefix + base64.b64encode(body).decode())[0]
+    monkeypatch.setattr(secrets, "MAX_UNPACKED", 1 << 16)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 10)
+    for at in (10, (1 << 16) - 8, 150_000, 299_000):
+        text = (b"a bc\xc3\xa9. " * 40_000)[: at - at % 9] + plain + b" " + b"a bc. " * 50_000
+        coded = base64.b64encode(gzip.compress(text)).decode()
+        assert found(coded) == ([("assign", coded)], 0)
+    big = base64.b64encode(lzma.compress(plain, preset=9)).decode()
+    assert secrets.find(big)[1] == 1
+
+
 def test_secrets_of_odd_rows(odd, none):
     found = secrets.find_secrets(odd)
     assert found.count() == len(ROWS)
