@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -15,6 +16,7 @@ from ..session import null_safe_join, settle
 LAGS = (1, 2, 3, 12)
 ROLLS = (3, 6)
 SEASON = 12
+RECENT = 3
 FEATURES = [
     *[f"lag_{k}" for k in LAGS],
     *[f"roll_mean_{k}" for k in ROLLS],
@@ -205,14 +207,15 @@ def next_period_rows(
     period: str,
     target: str = "realised_demand",
     keys: Sequence[str] = (),
+    **more: Column,
 ) -> DataFrame:
-    """Feature row of the period after each series' last one."""
+    """Feature row of the period after each series' last one, with `more` columns over its series."""
     last = series.groupBy(*keys).agg(F.max(_month_index(period)).alias("_hi"))
     upcoming = last.select(*keys, _period_of_index(F.col("_hi") + 1).alias(period)).withColumn(
         "month", (F.col(period) % 100).cast("int")
     )
     grown = series.unionByName(upcoming, allowMissingColumns=True)
-    feats = with_time_features(grown, period, target, keys)
+    feats = with_time_features(grown, period, target, keys).withColumns(more)
     return feats.where(F.col(target).isNull())
 
 
@@ -223,11 +226,23 @@ def forecast_next(
     keys: Sequence[str] = (),
     make: Callable | None = None,
 ) -> DataFrame:
-    """Fit on all history and predict the next period of each series."""
+    """Predict the next period of each series, by a model fitted on all full feature rows.
+
+    A series too short for all lags and means gets the mean of its last months, up to RECENT of them;
+    `by_model` tells which way was taken.
+    """
     make = make or default_regressor
     history = with_time_features(series, period, target, keys).dropna(subset=FEATURES)
+    last = _history(period, keys).rowsBetween(-RECENT, -1)
+    upcoming = next_period_rows(series, period, target, keys, recent=F.avg(target).over(last))
+    full = reduce(Column.__and__, [F.col(c).isNotNull() for c in FEATURES])
+    short = upcoming.where(~full).select(
+        *keys, period, F.col("recent").alias("forecast"), F.lit(False).alias("by_model")
+    )
+    if history.isEmpty():
+        return short
     model = make(target).fit(_assembled(history))
-    upcoming = next_period_rows(series, period, target, keys).dropna(subset=FEATURES)
-    return model.transform(_assembled(upcoming)).select(
-        *keys, period, F.col("prediction").alias("forecast")
+    known = model.transform(_assembled(upcoming.where(full))).select(
+        *keys, period, F.col("prediction").alias("forecast"), F.lit(True).alias("by_model")
     )
+    return known.unionByName(short)

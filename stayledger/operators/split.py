@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import bisect
 import math
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -25,8 +26,13 @@ def with_period(df: DataFrame, roles: Roles = Roles(), out: str = "period") -> D
 
 def period_counts(df: DataFrame, period: str) -> list[tuple[int, int]]:
     """Rows per calendar period in order; as many entries as the calendar has periods."""
-    rows = df.where(F.col(period).isNotNull()).groupBy(period).agg(F.count(F.lit(1)).alias("n"))
-    return sorted((r[0], r[1]) for r in rows.collect())
+    return _counts_and_undated(df, period)[0]
+
+
+def _counts_and_undated(df: DataFrame, period: str) -> tuple[list[tuple[int, int]], int]:
+    rows = df.groupBy(period).agg(F.count(F.lit(1)).alias("n")).collect()
+    dated = sorted((r[0], r[1]) for r in rows if r[0] is not None)
+    return dated, sum(r[1] for r in rows if r[0] is None)
 
 
 def weighted_quantile(counts: list[tuple[int, int]], q: float) -> float:
@@ -49,18 +55,21 @@ class TimeCut:
     cutoff: float
     n_train: int
     n_test: int
+    n_undated: int = 0  # rows without a period, on neither side
 
 
 def time_cutoff(df: DataFrame, period: str = "period", test_size: float = 0.2) -> TimeCut:
-    counts = period_counts(df, period)
+    counts, undated = _counts_and_undated(df, period)
     if not counts:
         raise ValueError("time split: no row has a period")
+    if undated:
+        warnings.warn(f"time split: {undated} rows have no period and are on neither side", stacklevel=2)
     cutoff = weighted_quantile(counts, 1 - test_size)
     n_train = sum(n for p, n in counts if p <= cutoff)
     n_test = sum(n for p, n in counts if p > cutoff)
     if not n_train or not n_test:
         raise ValueError("time split: one side is empty; check the span of periods")
-    return TimeCut(cutoff, n_train, n_test)
+    return TimeCut(cutoff, n_train, n_test, undated)
 
 
 def time_split(

@@ -68,6 +68,19 @@ def test_forecast_is_for_the_period_after_the_last(series):
     assert out[0].forecast == pytest.approx(128, abs=5)
 
 
+def test_short_series_get_a_forecast(spark, series):
+    short = spark.createDataFrame(
+        [("y", 201811, 4, 1, 3, 2018, 11), ("y", 201812, 8, 1, 7, 2018, 12), ("z", 201805, 9, 0, 9, 2018, 5)],
+        series.schema,
+    )
+    both = D.forecast_next(series.unionByName(short), "period", keys=["k"], make=linear).collect()
+    got = {r.k: (r.period, r.by_model) for r in both}
+    assert got == {"x": (201901, True), "y": (201901, False), "z": (201806, False)}
+    assert {r.k: r.forecast for r in both if r.k != "x"} == {"y": 5.0, "z": 9.0}
+    only = D.forecast_next(short, "period", keys=["k"], make=linear).collect()
+    assert {r.k: r.forecast for r in only} == {"y": 5.0, "z": 9.0}
+
+
 # --- pricing
 
 

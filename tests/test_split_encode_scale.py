@@ -236,3 +236,10 @@ def test_scaler_ignores_test_rows(spark):
     _, scaled, b = S.scale_train_test(train, test_a, "y")
     assert a == b and a.columns == ("x",)
     assert scaled.agg(F.max("x")).first()[0] > 100
+
+
+def test_rows_without_a_period_are_counted(spark):
+    df = spark.createDataFrame([(201501,), (201502,), (201503,), (None,), (None,)], "period int")
+    with pytest.warns(UserWarning, match="2 rows have no period"):
+        train, test, cut = T.time_split(df)
+    assert (cut.n_train, cut.n_test, cut.n_undated) == (train.count(), test.count(), 2)
