@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, mixing, near, quality, rules, secrets, sharding, toxicity, warc
+from . import chat, decontaminate, divergence, lines, mixing, near, negatives, quality, rules, secrets
+from . import sharding, toxicity, warc
 
 QUERIES = {
     "op1_sharding": sharding.op1_sharding,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_mixing": mixing.op9_mixing,
     "op10_warc": warc.op10_warc,
+    "op11_lines": lines.op11_lines,
+    "op12_divergence": divergence.op12_divergence,
+    "op13_negatives": negatives.op13_negatives,
 }
 
 ORACLES = {
@@ -24,4 +28,7 @@ ORACLES = {
     "op7_decontaminate": decontaminate.ORACLE,
     "op9_mixing": mixing.oracle(),
     "op10_warc": warc.ORACLE,
+    "op11_lines": lines.ORACLE,
+    "op12_divergence": divergence.ORACLE,
+    "op13_negatives": negatives.ORACLE,
 }
