@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ TOP_TERMS = 50
 TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-SPILL_ENTRIES = 400_000  # counts that a task holds before it writes its stripes
+SPILL_ENTRIES = 1_000_000  # counts that a task holds before it writes its stripes
 SPILL_ROWS = 20_000
 TILE_TERMS = 1024
 BLOCK_SOURCES = 512
@@ -48,44 +49,58 @@ class Stripes:
     def entries(self) -> int:
         return sum(map(len, self.df.values())) + sum(map(len, self.by_source.values()))
 
-    def rows(self) -> Iterator[tuple]:
-        """One row a term, and one row without a term that names all sources of a language."""
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """One row a term, and one row without a term that names all sources of a language.
+
+        Entries are gathered column by column, so no row is built in Python.
+        """
         of_lang: dict[str, list[str]] = defaultdict(list)
         for lang, source in self.by_source:
             of_lang[lang].append(source)
         for lang, sources in of_lang.items():
-            yield lang, None, 0, sources, [0] * len(sources)
             counters = [self.by_source[lang, s] for s in sources]
-            for term, df in self.df[lang].items():
-                held = [(s, c[term]) for s, c in zip(sources, counters, strict=True) if term in c]
-                yield lang, term, df, [s for s, _ in held], [n for _, n in held]
-
-
-def _frames(rows: Iterable[tuple]) -> Iterator[pd.DataFrame]:
-    names = ["lang", "term", "df", "sources", "counts"]
-    chunk: list[tuple] = []
-    for row in rows:
-        chunk.append(row)
-        if len(chunk) == SPILL_ROWS:
-            yield pd.DataFrame(chunk, columns=names)
-            chunk = []
-    if chunk:
-        yield pd.DataFrame(chunk, columns=names)
+            df = self.df[lang]
+            place = dict(zip(df, range(1, len(df) + 1), strict=True))
+            ahead = len(sources)  # the row without a term
+            at = np.concatenate(
+                [np.zeros(ahead, np.int64)]
+                + [np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in counters]
+            )
+            n = np.concatenate(
+                [np.zeros(ahead, np.int64)] + [np.fromiter(c.values(), np.int64, len(c)) for c in counters]
+            )
+            who = np.r_[np.arange(ahead), np.repeat(np.arange(ahead), [len(c) for c in counters])]
+            order = np.argsort(at, kind="stable")
+            ends = np.cumsum(np.bincount(at, minlength=len(df) + 1))
+            offsets = pa.array(np.r_[0, ends].astype(np.int32))
+            names = pa.array(sources, pa.string()).take(pa.array(who[order]))
+            whole = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * (len(df) + 1), pa.string()),
+                    pa.array([None, *df], pa.string()),
+                    pa.array(np.r_[0, np.fromiter(df.values(), np.int64, len(df))]),
+                    pa.ListArray.from_arrays(offsets, names),
+                    pa.ListArray.from_arrays(offsets, pa.array(n[order])),
+                ],
+                names=["lang", "term", "df", "sources", "counts"],
+            )
+            for start in range(0, whole.num_rows, SPILL_ROWS):
+                yield whole.slice(start, SPILL_ROWS)
 
 
-def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     find = re.compile(TERM).findall
     held = Stripes()
     for rows in batches:
-        for n, (lang, source, text) in enumerate(
-            zip(rows["lang"], rows["source"], rows["text"], strict=True)
-        ):
+        langs, sources, texts = (rows.column(k) for k in range(3))
+        for n in range(rows.num_rows):
+            text = texts[n].as_py()
             low = text.lower() if text.isascii() else text.translate(LOWER)
-            held.fold(lang, source, find(low))
+            held.fold(langs[n].as_py(), sources[n].as_py(), find(low))
             if n % 64 == 63 and held.entries() > SPILL_ENTRIES:
-                yield from _frames(held.rows())
+                yield from held.batches()
                 held = Stripes()
-    yield from _frames(held.rows())
+    yield from held.batches()
 
 
 def stripes(
@@ -105,7 +120,7 @@ def stripes(
     rows = df.select(
         text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).alias("text")
     )
-    parts = rows.mapInPandas(_fold, STRIPE_TYPE).repartition("lang", "term")
+    parts = rows.mapInArrow(_fold, STRIPE_TYPE).repartition("lang", "term")
     each = parts.select(
         "lang", "term", "df", F.posexplode(F.arrays_zip("sources", "counts")).alias("at", "one")
     )
