@@ -88,7 +88,8 @@ class Stripes:
                 yield whole.slice(start, SPILL_ROWS)
 
 
-def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _fold(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Stripes of the documents, written whenever a task holds more than `most` counts."""
     find = re.compile(TERM).findall
     held = Stripes()
     for rows in batches:
@@ -97,7 +98,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = texts[n].as_py()
             low = text.lower() if text.isascii() else text.translate(LOWER)
             held.fold(langs[n].as_py(), sources[n].as_py(), find(low))
-            if n % 64 == 63 and held.entries() > SPILL_ENTRIES:
+            if n % 64 == 63 and held.entries() > most:
                 yield from held.batches()
                 held = Stripes()
     yield from held.batches()
@@ -120,7 +121,9 @@ def stripes(
     rows = df.select(
         text_of(lang_col).alias("lang"), text_of(source_col).alias("source"), text_of(text_col).alias("text")
     )
-    parts = rows.mapInArrow(_fold, STRIPE_TYPE).repartition("lang", "term")
+    most = SPILL_ENTRIES
+    folded = rows.mapInArrow(lambda batches: _fold(batches, most), STRIPE_TYPE)
+    parts = folded.repartition("lang", "term")
     each = parts.select(
         "lang", "term", "df", F.posexplode(F.arrays_zip("sources", "counts")).alias("at", "one")
     )
@@ -153,7 +156,8 @@ def shares(counts: np.ndarray, below: np.ndarray) -> np.ndarray:
     return out + 1
 
 
-def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _pair_sums(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """Sums of each source of a block against all sources, over the tiles that a task reads."""
     held: dict[tuple[str, int], tuple[list[str], np.ndarray]] = {}
 
     def written() -> Iterator[pd.DataFrame]:
@@ -173,13 +177,13 @@ def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             below = np.asarray(tile.totals, np.int64) + PRIOR * tile.terms
             p = shares(counts, below) if len(counts) else counts
             first = tile.first
-            last = min(first + BLOCK_SOURCES, len(names))
+            last = min(first + tile.width, len(names))
             _, sums = held.setdefault(
                 (tile.lang, first), (names, np.zeros((last - first, len(names)), np.int64))
             )
             for k in range(first, last):
                 sums[k - first] += np.abs(p - p[:, k : k + 1]).sum(axis=0)
-            if sum(s.size for _, s in held.values()) > HELD_CELLS:
+            if sum(s.size for _, s in held.values()) > most:
                 yield from written()
     yield from written()
 
@@ -239,9 +243,11 @@ def divergences(merged: DataFrame, top: int = TOP_TERMS) -> DataFrame:
         F.col("all.source").alias("sources"),
         F.col("all.total").alias("totals"),
         F.explode(F.sequence(F.lit(0), F.size("all") - 1, F.lit(BLOCK_SOURCES))).alias("first"),
+        F.lit(BLOCK_SOURCES).alias("width"),
     )
+    most = HELD_CELLS
     sums = tiles.join(blocks, "lang").mapInPandas(
-        _pair_sums, "lang string, source string, item string, value long"
+        lambda batches: _pair_sums(batches, most), "lang string, source string, item string, value long"
     )
     pairs = sums.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
