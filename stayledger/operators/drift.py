@@ -28,7 +28,7 @@ def _side_counts() -> list[Column]:
     ]
 
 
-def _psi_of_cells(cells: DataFrame) -> DataFrame:
+def psi_of_cells(cells: DataFrame) -> DataFrame:
     """(feature, psi) from (feature, cell, n_ref, n_cur)."""
     totals = cells.groupBy("feature").agg(
         F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur")
@@ -72,7 +72,7 @@ def psi_numeric(
         .agg(*_side_counts())
     )
     # an empty bin on both sides adds nothing, so absent cells need no row
-    return _psi_of_cells(counts)
+    return psi_of_cells(counts)
 
 
 def psi_categorical(
@@ -86,7 +86,7 @@ def psi_categorical(
         .groupBy("feature", "cell")
         .agg(*_side_counts())
     )
-    return _psi_of_cells(counts)
+    return psi_of_cells(counts)
 
 
 def kolmogorov_p(statistic: Column, n_ref: Column, n_cur: Column, terms: int = 50) -> Column:
@@ -120,6 +120,11 @@ def ks_two_sample(
         .groupBy("feature", "value", "_range")
         .agg(*_side_counts())
     )
+    return ks_of_groups(groups)
+
+
+def ks_of_groups(groups: DataFrame) -> DataFrame:
+    """(feature, ks_stat, ks_pvalue) from (feature, value, _range, n_ref, n_cur)."""
     curve = running_totals(groups, "value", ["n_ref", "n_cur"], keys=["feature"])
     totals = groups.groupBy("feature").agg(
         F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur")

@@ -47,7 +47,20 @@ def binary_metrics(
 
     Rank metrics are null when only one class is present; precision, recall and F1 fall to 0.
     """
-    groups = score_groups(df, label, score, keys)
+    return _metrics_of_groups(score_groups(df, label, score, keys), score, threshold, keys)
+
+
+def metrics_of_counts(
+    counts: DataFrame, score: str, threshold: float = 0.5, keys: Sequence[str] = ()
+) -> DataFrame:
+    """`binary_metrics` from rows that were already counted: (keys, score, pos, neg)."""
+    splits = range_splits(counts, {score: F.col(score)})[score]
+    return _metrics_of_groups(with_range(counts, score, splits, "_range"), score, threshold, keys)
+
+
+def _metrics_of_groups(
+    groups: DataFrame, score: str, threshold: float, keys: Sequence[str]
+) -> DataFrame:
     curve = running_totals(groups, score, ["pos", "neg"], keys, descending=True)
     p, pos, neg = F.col(score), F.col("pos"), F.col("neg")
     above = F.col("cum_pos").cast("double")

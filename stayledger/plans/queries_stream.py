@@ -11,8 +11,12 @@ from ..schema import ACTIVITY_EVENT
 from ..session import work_path
 from ..sources.tables import table
 from ..streaming import jobs as J
+from ..streaming import handoff as H
+from ..streaming import quality as Q
 from ..streaming.events import parse_events, read_stream
+from ..streaming.recent import RecentWindow
 from ..streaming.scoring import scored_record
+from .queries_drift import _CLASS, _KS_P, _ks_sql, _psi_levels_sql, _psi_numeric_sql
 from .registry import query, rounded, sql_over
 
 SCORED = """scored AS (SELECT event_id, ts, event_type, user_id, value, p,
@@ -76,13 +80,10 @@ def _last_n(spark, sf):
 @query("stream_last_n", sql_over(SCORED, select=_LAST))
 def _stream_last_n(spark, sf):
     scored = _scored(_source(spark, sf), keep=("ts", "event_type"))
-    recent = J.RecentWindow(
-        spark, work_path(spark, "recent"), 200, ["ts", "event_id"], ["event_type"]
-    )
-    J.available_now(recent.writer(scored, work_path(spark, "recent-checkpoint")))
-    return recent.table(scored.schema).select(
-        "event_id", "event_type", "probability", "true_label"
-    )
+    recent = RecentWindow(200, ["ts", "event_id"], ["event_type"])
+    state = work_path(spark, "recent-state")
+    J.available_now(recent.writer(scored, state))
+    return recent.table(spark, state).select("event_id", "event_type", "probability", "true_label")
 
 
 @query(
@@ -113,6 +114,110 @@ def _latency_percentiles_recent(spark, sf):
     return J.index_percentiles(recent, "value", {"p50": 0.5, "p95": 0.95})
 
 
+@query(
+    "latency_percentiles_by_type",
+    """SELECT event_type, (list(value ORDER BY value))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS p50,
+       (list(value ORDER BY value))[CAST(floor(count(*) * 0.95) AS BIGINT) + 1] AS p95
+       FROM events GROUP BY event_type""",
+)
+def _latency_percentiles_by_type(spark, sf):
+    return J.index_percentiles(table(spark, sf, "events"), "value", Q.PICKS, ["event_type"])
+
+
+def _quality_sql(rows: str) -> str:
+    """Quality per event type of the rows of a relation, in SQL."""
+    return f"""groups AS (SELECT event_type, probability AS p, sum(true_label) AS pos,
+    count(*) - sum(true_label) AS neg FROM {rows} GROUP BY ALL),
+curve AS (SELECT *, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg FROM groups
+  WINDOW w AS (PARTITION BY event_type ORDER BY p DESC)),
+ranked AS (SELECT event_type, CAST(sum(pos + neg) AS BIGINT) AS n_labeled,
+  CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+    THEN sum(pos * cum_pos / (cum_pos + cum_neg)) / sum(pos) END AS pr_auc,
+  CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+    THEN sum(neg * (cum_pos - pos / 2)) / sum(pos) / sum(neg) END AS roc_auc
+  FROM curve GROUP BY event_type),
+times AS (SELECT event_type, count(*) AS processed,
+  (list(value ORDER BY value))[CAST(floor(count(*) / 2) AS BIGINT) + 1] AS p50,
+  (list(value ORDER BY value))[CAST(floor(count(*) * 0.95) AS BIGINT) + 1] AS p95
+  FROM {rows} GROUP BY event_type)"""
+
+
+# Large values stand for the true label here, so that both classes occur in every event type.
+_LABELLED = """labelled AS (SELECT * REPLACE (CAST(value > 60 OR user_id % 3 = 0 AS INTEGER) AS true_label,
+  event_type AS event_type) FROM scored)"""
+_QUALITY = """SELECT event_type, processed, n_labeled, round(pr_auc, 6) AS pr_auc,
+  round(roc_auc, 6) AS roc_auc, p50, p95 FROM times JOIN ranked USING (event_type)"""
+
+
+def _labelled(events):
+    label = flag((F.col("value") > 60) | (F.col("user_id") % 3 == 0))
+    p = sigmoid(F.lit(-1.5) + F.lit(0.03) * F.col("value"))
+    kept = ("ts", "event_type", "value")
+    return scored_record(events.withColumn("_label", label), "event_id", p, "_label", 0.3, kept)
+
+
+@query("stream_quality", sql_over(SCORED, _LABELLED, _quality_sql("labelled"), select=_QUALITY))
+def _stream_quality(spark, sf):
+    """Quality of everything seen so far, from the counts that the stream keeps."""
+    counts = Q.outcome_counts(_labelled(_source(spark, sf)), latency="value", keys=["event_type"])
+    seen = J.run_to_table(counts, "stream-outcomes", "complete")
+    return rounded(Q.quality_of_counts(seen, ["event_type"]))
+
+
+_NEWEST = """newest AS (SELECT * FROM (SELECT *,
+  row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS r FROM labelled)
+  WHERE r <= 500)"""
+
+
+@query(
+    "stream_recent_quality", sql_over(SCORED, _LABELLED, _NEWEST, _quality_sql("newest"), select=_QUALITY)
+)
+def _stream_recent_quality(spark, sf):
+    """Rolling quality over the last 500 rows of each event type, from the keyed state."""
+    recent, state = RecentWindow(500, ["ts", "event_id"], ["event_type"]), work_path(spark, "rolling-state")
+    J.available_now(recent.writer(_labelled(_source(spark, sf)), state))
+    rows = recent.table(spark, state)
+    return rounded(Q.window_quality(rows, "probability", "true_label", "value", ["event_type"]))
+
+
+# The reference is the first half of the time that the table spans.
+_HALVES = """cut AS (SELECT epoch_us(min(ts)) + (epoch_us(max(ts)) - epoch_us(min(ts))) // 2 AS c FROM events),
+halves AS (SELECT value, user_id % 7 AS weekday, event_type, epoch_us(ts) <= c AS before FROM events, cut),
+first_half AS (SELECT * FROM halves WHERE before),
+second_half AS (SELECT * FROM halves WHERE NOT before)"""
+_SIDES = ("first_half", "second_half")
+
+
+@query(
+    "stream_drift_report",
+    sql_over(
+        _HALVES,
+        f"""psi AS ({_psi_numeric_sql("value", *_SIDES)} UNION ALL {_psi_levels_sql("weekday", *_SIDES)}
+  UNION ALL {_psi_levels_sql("event_type", *_SIDES)}),
+ks AS ({_ks_sql("value", *_SIDES)} UNION ALL {_ks_sql("weekday", *_SIDES)})""",
+        select=f"""SELECT feature, CASE WHEN d IS NULL THEN 'categorical' ELSE 'numeric' END AS type,
+          round(psi, 4) + 0.0 AS psi, {_CLASS} AS drift, round(d, 4) AS ks_stat,
+          round({_KS_P}, 4) AS ks_pvalue FROM psi LEFT JOIN ks USING (feature)""",
+    ),
+)
+def _stream_drift_report(spark, sf):
+    """Events of the second half, counted by a stream, against frozen counts of the first."""
+    events = table(spark, sf, "events")
+    micros = F.unix_micros(utc_instant("ts"))
+    ends = events.agg(F.min(micros).alias("a"), F.max(micros).alias("b")).first()
+    cut = ends.a + (ends.b - ends.a) // 2
+
+    def features(rows):
+        return rows.select("value", (F.col("user_id") % 7).alias("weekday"), "event_type")
+
+    frozen = H.freeze(features(events.where(micros <= cut)), ["value", "weekday"], ["event_type"], ["weekday"])
+    path = work_path(spark, "reference")
+    frozen.save(path)
+    ref = H.FrozenReference.load(spark, path)
+    counts = H.cell_counts(features(_source(spark, sf).where(micros > cut)), ref)
+    return rounded(H.drift_of_counts(ref, J.run_to_table(counts, "stream-cells", "complete")), 4)
+
+
 _WINDOWS = """SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n,
   count(*) FILTER (WHERE prediction = 1) AS n_positive, round(sum(probability), 4) AS sum_probability
   FROM scored {closed} GROUP BY ALL"""
@@ -153,19 +258,18 @@ def _stream_event_windows(spark, sf):
     return _day(J.run_to_table(closed, "stream-windows"))
 
 
-@query(
-    "session_metrics",
-    sql_over(
-        SCORED,
-        """marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+_SESSIONS = (
+    """marked AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
             < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS opens FROM scored)""",
-        """numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
+    """numbered AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s
             FROM marked)""",
-        select="""SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
+    """sessions AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
           count(*) AS n, round(sum(probability), 4) AS sum_probability
-          FROM numbered GROUP BY user_id, s""",
-    ),
+          FROM numbered GROUP BY user_id, s)""",
 )
+
+
+@query("session_metrics", sql_over(SCORED, *_SESSIONS, select="SELECT * FROM sessions"))
 def _session_metrics(spark, sf):
     scored = _scored(table(spark, sf, "events"), keep=("ts", "user_id"))
     timed = scored.withColumn("ts", utc_instant("ts"))
@@ -174,6 +278,23 @@ def _session_metrics(spark, sf):
     return _summed(sessions.withColumns(walls))
 
 
+@query(
+    "stream_sessions",
+    sql_over(
+        SCORED,
+        *_SESSIONS,
+        select="""SELECT * FROM sessions
+          WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
+    ),
+)
+def _stream_sessions(spark, sf):
+    """Sessions that the watermark has closed."""
+    scored = _scored(_source(spark, sf), keep=("ts", "user_id"))
+    closed = J.stream_sessions(J.with_event_time(scored, "ts", "1 hour"), "ts", "user_id", 30)
+    sessions = J.run_to_table(closed, "stream-sessions")
+    return _summed(sessions.withColumns({c: utc_wall(c) for c in ("session_start", "session_end")}))
+
+
 @query(
     "stream_dead_letter",
     """SELECT CASE WHEN event_type = 'error' THEN 'dead' ELSE 'scored' END AS outcome,

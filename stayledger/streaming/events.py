@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.quality import Rule, valid_and_quarantined
 from ..schema import BOOKING_EVENT, EVENT_BOOKING, Roles
 
 
@@ -42,13 +45,40 @@ def parse_events(
 
 def read_stream(
     spark: SparkSession,
-    path: str,
-    schema: T.StructType,
+    path: str | None = None,
+    schema: T.StructType | None = None,
     fmt: str = "parquet",
     files_per_trigger: int | None = None,
+    options: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """File source over a folder or a glob of files; a broker source only swaps format and options."""
-    reader = spark.readStream.format(fmt).schema(schema)
+    """Any source: files of a folder or glob with a declared schema, or a source that has a schema
+    of its own (a broker, a rate), which takes options and neither path nor schema."""
+    reader = spark.readStream.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path)
+    for name, value in (options or {}).items():
+        reader = reader.option(name, value)
+    return reader.load(path) if path else reader.load()
+
+
+def accepted_events(
+    raw: DataFrame,
+    payload: Column | str = "value",
+    schema: T.StructType = BOOKING_EVENT,
+    rules: Sequence[Rule] = (),
+) -> tuple[DataFrame, DataFrame]:
+    """Events of any source and its dead letters (line, reasons); table or stream.
+
+    `payload` is the column or expression that holds an event as JSON, as text or bytes. A line that
+    doesn't parse or has no id is a dead letter with the reason `unreadable`; an event that breaks
+    `rules` is one with the rules' reasons.
+    """
+    body = F.col(payload) if isinstance(payload, str) else payload
+    lines = raw.select(body.cast("string").alias("value"))
+    good, unread = parse_events(lines, schema)
+    kept, refused = valid_and_quarantined(good, rules)
+    dead = unread.select("line", F.array(F.lit("unreadable")).alias("reasons"))
+    text = F.to_json(F.struct(*[f"`{c}`" for c in good.columns]))
+    return kept, dead.unionByName(refused.select(text.alias("line"), "reasons"))

@@ -5,7 +5,7 @@ All of them run with any trigger; `available_now` drains what is there and stops
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalar import utc_instant
-from ..operators.drift import psi_numeric
-from ..session import work_path
+from ..operators.ordering import range_splits, running_totals, with_range
+from ..session import null_safe_join, work_path
 
 
 def available_now(writer) -> None:
@@ -48,10 +48,15 @@ def running_metrics(scored: DataFrame) -> DataFrame:
 
 
 def keep_latest(stream: DataFrame, path: str, checkpoint: str):
-    """Complete-mode result of a streaming aggregation, rewritten after every micro-batch."""
+    """Complete-mode result of a streaming aggregation, written after every micro-batch.
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    Two folders take turns, so the result before stays whole while the next one is written;
+    `latest_result` reads the newer one.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = batch.withColumn("_batch", F.lit(batch_id).cast("long"))
+        out.write.mode("overwrite").parquet(f"{path}/turn={batch_id % 2}")
 
     return (
         stream.writeStream.outputMode("complete")
@@ -60,6 +65,14 @@ def keep_latest(stream: DataFrame, path: str, checkpoint: str):
     )
 
 
+def latest_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What `keep_latest` wrote last."""
+    both = T.StructType([*schema, T.StructField("_batch", T.LongType())])
+    turns = spark.read.schema(both).parquet(path)
+    newest = turns.agg(F.max("_batch")).first()[0]
+    return turns.where(F.col("_batch") == F.lit(newest)).select(*[f"`{c}`" for c in schema.names])
+
+
 def latest_rows(df: DataFrame, n: int, order: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """The last n rows in the given order, per key if any.
 
@@ -72,54 +85,37 @@ def latest_rows(df: DataFrame, n: int, order: Sequence[str], keys: Sequence[str]
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-class RecentWindow:
-    """The last n rows per key of a stream, kept as one small table per micro-batch.
+def percentiles_of_counts(
+    counts: DataFrame, value: str, picks: Mapping[str, float], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Element number floor(share * n) of the sorted values, from (keys, value, n).
 
-    Each batch merges its rows with the table of the batch before and writes its own; a repeated
-    batch rewrites the same table, so a restart changes nothing.
+    Counts are summed up inside value ranges with offsets per range, so no task sees all values of a
+    key, however hot.
     """
-
-    def __init__(
-        self, spark: SparkSession, path: str, n: int, order: Sequence[str], keys: Sequence[str] = ()
-    ):
-        self.spark, self.path, self.n = spark, path, n
-        self.order, self.keys = list(order), list(keys)
-
-    def merge(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if batch_id > 0:
-            before = batch.sparkSession.read.schema(batch.schema).parquet(
-                f"{self.path}/batch={batch_id - 1}"
-            )
-            rows = rows.unionByName(before)
-        kept = latest_rows(rows, self.n, self.order, self.keys)
-        kept.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
-
-    def table(self, schema: T.StructType) -> DataFrame:
-        """What the newest micro-batch kept; also after a restart."""
-        versions = self.spark.read.schema(T.StructType([*schema, T.StructField("batch", T.LongType())])).parquet(self.path)
-        newest = versions.agg(F.max("batch")).first()[0]
-        return versions.where(F.col("batch") == F.lit(newest)).drop("batch")
-
-    def writer(self, stream: DataFrame, checkpoint: str):
-        return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.merge)
+    splits = range_splits(counts, {value: F.col(value)})[value]
+    curve = running_totals(with_range(counts, value, splits, "_range"), value, ["n"], keys)
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    on = list(keys) or ["_one"]
+    if not keys:
+        curve, totals = (x.withColumn("_one", F.lit(1)) for x in (curve, totals))
+    met = null_safe_join(curve, totals, on)
+    reached = [
+        F.min(F.when(F.col("cum_n") > F.floor(F.col("_total") * F.lit(share)), F.col(value))).alias(name)
+        for name, share in picks.items()
+    ]
+    return met.groupBy(*keys).agg(*reached)
 
 
 def index_percentiles(
-    df: DataFrame, column: str, picks: dict[str, float], keys: Sequence[str] = ()
+    df: DataFrame, column: str, picks: Mapping[str, float], keys: Sequence[str] = ()
 ) -> DataFrame:
     """Element number floor(share * n) of the sorted values, without interpolation.
 
-    For bounded windows such as the last thousand latencies.
+    Rows are folded to counts per value first; missing values are left out.
     """
-    ordered = F.array_sort(F.collect_list(column))
-    return df.groupBy(*keys).agg(ordered.alias("_v")).select(
-        *keys,
-        *[
-            F.get("_v", F.floor(F.size("_v") * F.lit(share)).cast("int")).alias(name)
-            for name, share in picks.items()
-        ],
-    )
+    counted = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count(F.lit(1)).alias("n"))
+    return percentiles_of_counts(counted, column, picks, keys)
 
 
 def freshness_ms(event_time: Column) -> Column:
@@ -138,22 +134,6 @@ def reporter(report: Callable[[DataFrame], None], every: int = 1) -> Callable[[D
     return run
 
 
-def drift_of_batches(
-    reference: DataFrame, features: Sequence[str], edges: dict[str, list[float]], path: str
-) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that compares each batch with frozen reference bins and logs psi."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        psi = psi_numeric(reference, batch, features, edges=edges)
-        psi.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}"
-        )
-
-    return run
-
-
 # --- event time ------------------------------------------------------------------------------------
 
 
@@ -212,6 +192,28 @@ def session_metrics(
     ).drop("_session")
 
 
+def stream_sessions(
+    scored: DataFrame, event_time: str, key: str, gap_minutes: int = 30
+) -> DataFrame:
+    """`session_metrics` of a stream with a watermark: sessions come out when the watermark passes
+    their end. Rows older than the watermark are left out and counted as `late_rows` in the
+    stream's progress. Sessions are merged inside each task before the shuffle.
+    """
+    scored.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    span = F.session_window(event_time, f"{gap_minutes} minutes")
+    return (
+        scored.groupBy(key, span.alias("w"))
+        .agg(F.count(F.lit(1)).alias("n"), F.avg("probability").alias("mean_probability"))
+        .select(
+            key,
+            F.col("w.start").alias("session_start"),
+            F.col("w.end").alias("session_end"),
+            "n",
+            "mean_probability",
+        )
+    )
+
+
 def with_event_time(df: DataFrame, column: str, lateness: str) -> DataFrame:
     """Zone-less event times as instants, with the allowed lateness."""
     return df.withColumn(column, utc_instant(column)).withWatermark(column, lateness)
@@ -223,6 +225,6 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFram
     path, checkpoint = work_path(spark, name), work_path(spark, f"{name}-checkpoint")
     if mode == "append":
         available_now(append_log(stream, path, checkpoint, "parquet"))
-    else:
-        available_now(keep_latest(stream, path, checkpoint))
-    return spark.read.schema(stream.schema).parquet(path)
+        return spark.read.schema(stream.schema).parquet(path)
+    available_now(keep_latest(stream, path, checkpoint))
+    return latest_result(spark, path, stream.schema)

@@ -6,9 +6,7 @@ from pyspark.sql import types as T
 
 from stayledger.functions.scalar import sigmoid
 from stayledger.operators.cleaning import fill_with_flag
-from stayledger.operators.drift import reference_edges
 from stayledger.schema import ACTIVITY_EVENT, BOOKING_EVENT, EVENT_BOOKING
-from stayledger.session import work_path
 from stayledger.streaming import events as E
 from stayledger.streaming import jobs as J
 from stayledger.streaming.scoring import scored_record
@@ -67,27 +65,6 @@ def test_accuracy_is_null_without_labels(spark, event_files):
     assert row.running_accuracy is None and row.processed == row.n_low + row.n_medium + row.n_high
 
 
-def test_recent_window_over_many_batches(spark, event_files):
-    good, _ = E.parse_events(spark.readStream.option("maxFilesPerTrigger", 1).text(event_files))
-    scored = scored_record(good.withColumn("hotel", F.col("booking.hotel")), "event_id", probability(), keep=("hotel",))
-    recent = J.RecentWindow(spark, work_path(spark, "recent"), 20, ["event_id"], ["hotel"])
-    J.available_now(recent.writer(scored, work_path(spark, "recent-cp")))
-    batch, _ = E.parse_events(spark.read.text(event_files))
-    flat = scored_record(batch.withColumn("hotel", F.col("booking.hotel")), "event_id", probability(), keep=("hotel",))
-    want = J.latest_rows(flat, 20, ["event_id"], ["hotel"])
-    got = recent.table(scored.schema)
-    assert got.count() == 40 and got.exceptAll(want).count() == 0
-
-
-def test_repeated_batch_changes_nothing(spark):
-    recent = J.RecentWindow(spark, work_path(spark, "again"), 3, ["id"])
-    first, second = spark.range(5).coalesce(1), spark.range(5, 7)
-    recent.merge(first, 0)
-    recent.merge(second, 1)
-    recent.merge(second, 1)
-    assert sorted(r.id for r in recent.table(first.schema).collect()) == [4, 5, 6]
-
-
 def test_rank_limit_runs_before_the_shuffle(spark):
     """A hot key sends at most n rows per task."""
     df = spark.range(10_000).withColumn("k", F.when(F.col("id") < 9_000, "hot").otherwise("cold"))
@@ -95,18 +72,6 @@ def test_rank_limit_runs_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_prediction_log_feeds_the_drift_monitor(spark, event_files, hotel, tmp_path):
-    good, _ = E.parse_events(spark.readStream.option("maxFilesPerTrigger", 3).text(event_files))
-    values = good.select(F.col("booking.lead_time").alias("lead_time"))
-    reference = hotel.select("lead_time")
-    edges = reference_edges(reference, ["lead_time"])
-    path = str(tmp_path / "drift")
-    hook = J.drift_of_batches(reference, ["lead_time"], edges, path)
-    J.available_now(values.writeStream.option("checkpointLocation", str(tmp_path / "cp")).foreachBatch(hook))
-    rows = spark.read.parquet(path).collect()
-    assert len(rows) >= 2 and all(r.psi < 0.25 for r in rows)
-
-
 def test_json_log_has_one_object_per_event(spark, event_files, hotel, tmp_path):
     good, _ = E.parse_events(spark.readStream.text(event_files))
     scored = scored_record(good, "event_id", probability(), "_true_label")
