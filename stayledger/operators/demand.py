@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
@@ -190,6 +192,11 @@ def backtest_model(
         parts = one if parts is None else parts.unionByName(one)
     if parts is None:
         raise ValueError("backtest: no period has enough history")
+    return _compared(parts, target, keys)
+
+
+def _compared(parts: DataFrame, target: str, keys: Sequence[str]) -> DataFrame:
+    """Errors of `prediction` and of the seasonal-naive forecast on the same points."""
     model_mae, model_mape = _errors(target, "prediction")
     naive_mae, naive_mape = _errors(target, f"lag_{SEASON}")
     both = parts.groupBy(*keys).agg(
@@ -202,6 +209,55 @@ def backtest_model(
     return both.withColumn("model_beats_naive", F.col("model_mae") < F.col("naive_mae"))
 
 
+def backtest_linear(
+    series: DataFrame,
+    period: str,
+    target: str = "realised_demand",
+    keys: Sequence[str] = (),
+    min_train: int = 18,
+    features: Sequence[str] = tuple(FEATURES),
+) -> DataFrame:
+    """`backtest_model` with least squares, from one pass over the rows.
+
+    Products of features and target are summed once per period, and running sums over the calendar
+    give every origin the normal equations of all earlier periods; each is one small solve, whatever
+    the number of series. Features that say the same as others share their weight. An origin without
+    any earlier row forecasts 0. No tested point gives no row.
+    """
+    rows = settle(origins(series, period, target, keys, min_train))
+    x = [*[F.col(f).cast("double") for f in features], F.lit(1.0)]
+    y = F.col(target).cast("double")
+    m = len(x)
+    upper = [(i, j) for i in range(m) for j in range(i, m)]
+    products = [F.sum(x[i] * x[j]).alias(f"a{i}_{j}") for i, j in upper]
+    products += [F.sum(x[i] * y).alias(f"b{i}") for i in range(m)]
+    per_period = rows.groupBy(F.col(period).alias("_period")).agg(*products)
+    # One row per calendar period, so the window's single task stays small.
+    before = Window.partitionBy(F.lit(0)).orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
+    names = [c for c in per_period.columns if c != "_period"]
+    sums = per_period.select(
+        "_period", F.array(*[F.coalesce(F.sum(c).over(before), F.lit(0.0)) for c in names]).alias("sums")
+    )
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            weights = []
+            for flat in batch["sums"]:
+                a = np.zeros((m, m))
+                for (i, j), v in zip(upper, flat, strict=False):
+                    a[i, j] = a[j, i] = v
+                size = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
+                scaled = a / size[:, None] / size[None, :]
+                weights.append(np.linalg.lstsq(scaled, np.asarray(flat[len(upper) :]) / size, rcond=1e-12)[0] / size)
+            yield pd.DataFrame({"_period": batch["_period"], "_w": weights})
+
+    kind = series.schema[period].dataType.simpleString()
+    solved = sums.mapInPandas(solve, f"_period {kind}, _w array<double>")
+    tested = rows.where("is_tested").join(solved, F.col(period) == F.col("_period"))
+    forecast = reduce(Column.__add__, [F.col("_w")[i] * x[i] for i in range(m)])
+    return _compared(tested.withColumn("prediction", forecast), target, keys)
+
+
 def next_period_rows(
     series: DataFrame,
     period: str,

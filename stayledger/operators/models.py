@@ -27,9 +27,32 @@ LABEL, WEIGHT, VECTOR = "_label", "_weight", "features"
 SCORE = "p"
 
 
-def assemble(df: DataFrame, features: Sequence[str], target: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Feature vector, label and the kept columns."""
-    cut = df.select(*keep, *features, F.col(target).cast("double").alias(LABEL))
+def train_centers(train: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Mean of each feature's known values; 0 where there are none."""
+    known = [F.avg(F.nanvl(F.col(f).cast("double"), F.lit(None))).alias(f) for f in features]
+    row = train.agg(*known).first()
+    return {f: row[f] or 0.0 for f in features}
+
+
+def assemble(
+    df: DataFrame,
+    features: Sequence[str],
+    target: str,
+    keep: Sequence[str] = (),
+    centers: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """Feature vector, label and the kept columns.
+
+    A missing feature counts as its center: `centers` of the training rows, or 0 for features that
+    were scaled around their train center.
+    """
+    centers = centers or {}
+    values = [
+        F.coalesce(F.nanvl(F.col(f).cast("double"), F.lit(None)), F.lit(float(centers.get(f, 0.0)))).alias(f)
+        for f in features
+        if f not in keep
+    ]
+    cut = df.select(*keep, *values, F.col(target).cast("double").alias(LABEL))
     vectors = VectorAssembler(inputCols=list(features), outputCol=VECTOR, handleInvalid="keep")
     return vectors.transform(cut).select(*keep, VECTOR, LABEL)
 
@@ -61,15 +84,18 @@ Factory = Callable[[], Estimator]
 def cv_scores(
     make: Factory, df: DataFrame, plan: TimePlan, features: Sequence[str], target: str
 ) -> DataFrame:
-    """Metrics per fold; each fold trains on its past only, with weights from that past."""
-    keep = [plan.period, plan.id_col]
-    rows = assemble(df, features, target, keep)
+    """Metrics per fold; each fold trains on its past only, with weights and centers from that past.
+
+    Rows without a label take no part.
+    """
+    known = df.where(F.col(target).isNotNull())
     scored = None
     for fold in plan.folds:
-        model = make().fit(with_pos_weight(plan.train(rows, fold)))
-        one = positive_score(model, plan.valid(rows, fold)).select(
-            F.lit(fold.number).alias("fold"), LABEL, SCORE
-        )
+        past, later = plan.train(known, fold), plan.valid(known, fold)
+        centers = train_centers(past, features)
+        model = make().fit(with_pos_weight(assemble(past, features, target, centers=centers)))
+        rows = assemble(later, features, target, centers=centers)
+        one = positive_score(model, rows).select(F.lit(fold.number).alias("fold"), LABEL, SCORE)
         scored = one if scored is None else scored.unionByName(one)
     return binary_metrics(scored, LABEL, SCORE, keys=["fold"])
 
@@ -178,16 +204,23 @@ def fit_final(
     """Fit on all train rows and score the sealed test once.
 
     The operating threshold is chosen on the last validation fold, by a model that saw only the
-    rows before it; the test set decides nothing.
+    rows before it; the test set decides nothing. Missing features count as the mean of the rows
+    that a model is fitted on, rows without a label take no part.
     """
     last = plan.folds[-1]
-    rows = assemble(train, features, target, [plan.period, plan.id_col])
-    early = make().fit(with_pos_weight(plan.train(rows, last)))
-    held = positive_score(early, plan.valid(rows, last)).select(LABEL, SCORE)
-    threshold = best_threshold_f1(held, LABEL, SCORE).first()["threshold"]
+    train, test = (side.where(F.col(target).isNotNull()) for side in (train, test))
+
+    def fitted(rows: DataFrame) -> tuple[Model, dict[str, float]]:
+        centers = train_centers(rows, features)
+        return make().fit(with_pos_weight(assemble(rows, features, target, centers=centers))), centers
+
+    early, centers = fitted(plan.train(train, last))
+    held = assemble(plan.valid(train, last), features, target, centers=centers)
+    threshold = best_threshold_f1(positive_score(early, held).select(LABEL, SCORE), LABEL, SCORE).first()["threshold"]
 
-    model = make().fit(with_pos_weight(rows))
-    scored = settle(positive_score(model, assemble(test, features, target)).select(LABEL, SCORE))
+    model, centers = fitted(train)
+    sealed = assemble(test, features, target, centers=centers)
+    scored = settle(positive_score(model, sealed).select(LABEL, SCORE))
     metrics = binary_metrics(scored, LABEL, SCORE).first().asDict()
     at = binary_metrics(scored, LABEL, SCORE, threshold).first()
     metrics |= {

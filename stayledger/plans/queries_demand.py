@@ -130,6 +130,49 @@ def _backtest_naive(spark, sf):
     return rounded(out.drop("mape"))
 
 
+_DET = "({a}*({e}*{i}-{f}*{h})-{b}*({d}*{i}-{f}*{g})+{c}*({d}*{h}-{e}*{g}))"
+
+
+def _det(*cells: str) -> str:
+    return _DET.format(**dict(zip("abcdefghi", cells, strict=True)))
+
+
+# Least squares on two centred lags in closed form: Cramer's rule on the sums of all earlier periods.
+_SUMS = ("n", "u", "v", "uu", "uv", "vv", "y", "uy", "vy")
+_A = ("n", "u", "v", "u", "uu", "uv", "v", "uv", "vv")
+
+
+@query(
+    "backtest_linear",
+    sql_over(
+        BOOKINGS,
+        _SERIES,
+        _FEATS,
+        """steps AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY period) - 1 AS step
+          FROM feats WHERE lag_12 IS NOT NULL AND roll_mean_6 IS NOT NULL)""",
+        """products AS (SELECT period, count(*)::DOUBLE AS n, sum(lag_1)::DOUBLE AS u, sum(lag_12)::DOUBLE AS v,
+          sum(lag_1 * lag_1)::DOUBLE AS uu, sum(lag_1 * lag_12)::DOUBLE AS uv,
+          sum(lag_12 * lag_12)::DOUBLE AS vv, sum(realised_demand)::DOUBLE AS y,
+          sum(lag_1 * realised_demand)::DOUBLE AS uy, sum(lag_12 * realised_demand)::DOUBLE AS vy
+          FROM steps GROUP BY period)""",
+        "sums AS (SELECT period, "
+        + ", ".join(f"sum({c}) OVER w AS {c}" for c in _SUMS)
+        + """ FROM products WINDOW w AS (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+        f"""weights AS (SELECT period, {_det("y", "u", "v", "uy", "uu", "uv", "vy", "uv", "vv")} / {_det(*_A)} AS w0,
+          {_det("n", "y", "v", "u", "uy", "uv", "v", "vy", "vv")} / {_det(*_A)} AS w1,
+          {_det("n", "u", "y", "u", "uu", "uy", "v", "uv", "vy")} / {_det(*_A)} AS w2 FROM sums)""",
+        """points AS (SELECT country, realised_demand AS d, lag_12, w0 + w1 * lag_1 + w2 * lag_12 AS f
+          FROM steps JOIN weights USING (period) WHERE step >= 18)""",
+        select="""SELECT country, count(*) AS n_points, round(avg(abs(d - f)), 4) AS model_mae,
+          round(avg(abs(d - lag_12)), 4) AS naive_mae FROM points GROUP BY country""",
+    ),
+)
+def _backtest_linear(spark, sf):
+    """Every origin from step 18 on, by least squares on last month and the same month a year ago."""
+    out = D.backtest_linear(country_series(spark, sf), "period", TARGET, KEY, features=["lag_1", "lag_12"])
+    return rounded(out.select("country", "n_points", "model_mae", "naive_mae"), 4)
+
+
 # --- pricing ---------------------------------------------------------------------------------------
 
 _ENTITIES = """entities AS (SELECT coalesce(country, 'unknown') AS country,

@@ -158,15 +158,13 @@ _SUMMARY = """summary AS (SELECT CASE WHEN count(*) FILTER (WHERE drift = 'signi
     sql_over(
         BOOKINGS,
         SPLIT,
-        _DRIFTED,
-        _report_sql("train", "drifted"),
+        _report_sql("train", "test"),
         _SUMMARY,
         select="SELECT * REPLACE (array_to_string(top_drifted, ',') AS top_drifted) FROM summary",
     ),
 )
 def _drift_summary(spark, sf):
-    train, drifted = drifted_sides(spark, sf)
-    summary = D.summarize(D.detect_drift(train, drifted, "is_canceled", _FEATURES))
+    summary = D.summarize(D.detect_drift(*sides(spark, sf), "is_canceled", _FEATURES))
     return summary.withColumn("top_drifted", F.array_join("top_drifted", ","))
 
 

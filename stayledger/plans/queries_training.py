@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..operators import demand as D
 from ..operators import models as M
 from ..operators import selection as S
-from ..operators.drift import inject_drift
 from ..operators.imbalance import oversample_minority
 from ..operators.split import plan_time_folds, time_split
 from ..session import settle
@@ -147,12 +146,11 @@ def _train_and_score(spark, sf):
 
 @query("monitoring_decision")
 def _monitoring_decision(spark, sf):
-    """Later bookings, shifted, against earlier ones: gate, drift, performance, decision."""
+    """Later bookings against earlier ones: gate, drift, performance, decision."""
     train, test, tables = _prepared(spark, sf)
     scorer = fit_scorer(tables, ROLES, small_trees)
-    window = inject_drift(test, "booking_id", "lead_time", "market_segment", "BUILDING")
     _, decision = jobs.monitoring_job(
-        scorer, train, window, 0.36, ["lead_time", "adr", "market_segment", "deposit_type"]
+        scorer, train, test, 0.36, ["lead_time", "adr", "market_segment", "deposit_type"]
     )
     texts = {c: F.array_join(c, " | ") for c in ("reasons", "top_drifted")}
     return decision.withColumns(texts)
