@@ -213,7 +213,7 @@ def mark_contaminated(
     (id, text), so copies of a text spread over as many keys as they have ids.
     """
     kept = docs.select(*without(docs, ("n_words", "n_hit", "items", "contaminated")))
-    a, b = free_names(kept, "_a", "_b")
+    a, b, found_a, found_b = free_names(kept, "_a", "_b", "_fa", "_fb")
     ident = F.coalesce(col(id_col).cast("string"), F.lit("null"))
     text = text_of(text_col)
     keys = [F.xxhash64(ident, text).alias(a), F.xxhash64(text, ident, F.lit(1)).alias(b)]
@@ -227,11 +227,11 @@ def mark_contaminated(
     )
     per_item = hits.groupBy(a, b).agg(F.array_sort(F.collect_set("item")).alias("items"))
     found = file_stage(per_word.join(per_item, [a, b]), "hits").select(
-        col(a).alias("_fa"), col(b).alias("_fb"), "n_hit", "items"
+        col(a).alias(found_a), col(b).alias(found_b), "n_hit", "items"
     )
     rows = kept.select("*", F.size(word_list(text)).cast("long").alias("n_words"), *keys)
     # Results grow with the corpus, so they are joined by shuffle at every size.
-    joined = rows.join(found.hint("merge"), (col(a) == F.col("_fa")) & (col(b) == F.col("_fb")), "left")
+    joined = rows.join(found.hint("merge"), (col(a) == col(found_a)) & (col(b) == col(found_b)), "left")
     return joined.select(
         *[col(c) for c in kept.columns],
         "n_words",

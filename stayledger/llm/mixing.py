@@ -154,13 +154,13 @@ def mix(
     the longest prefix, in the seeded order of the next epoch, whose tokens fit.
 
     A null level value is the value `<null>`; null and empty texts have no tokens and are taken with
-    their place in the order; a null id is ordered by its text; rows of equal id are taken together;
+    their place in the order, in every epoch where a leaf has no tokens at all; a null id is ordered by its text; rows of equal id are taken together;
     an empty table gives an empty mix. Columns named epoch or tokens are replaced, and columns of
     any other name stay.
     """
     kept = df.select(*without(df, ("epoch", "tokens")))
     names = free_names(kept, *[f"_{x}" for x in levels])
-    key = free_names(kept, "_key")[0]
+    key, full, cut, n = free_names(kept, "_key", "_full", "_cut", "_n")
     paths = [
         F.coalesce(c.cast("string"), F.lit(MISSING)).alias(n)
         for n, c in zip(names, levels.values(), strict=True)
@@ -182,7 +182,9 @@ def mix(
     given = leaf_budgets(supplied, names, weights, budget)
     unit = F.greatest(F.col("supply"), F.lit(1))
     leaves = file_stage(
-        given.withColumn("full", F.expr("given div greatest(supply, 1)")).withColumn(
+        given.withColumn(
+            "full", F.when(F.col("supply") == 0, F.lit(max_epochs)).otherwise(F.expr("given div greatest(supply, 1)"))
+        ).withColumn(
             "part", F.col("given") - F.col("full") * unit
         ),
         "given",
@@ -190,18 +192,18 @@ def mix(
     cuts = cut_points(slim, leaves, names, seed, bits)
     plan = file_stage(
         leaves.join(cuts, names, "left").select(
-            *names, F.col("full").alias("_full"), F.coalesce("cut", F.lit(-1)).alias("_cut")
+            *names, F.col("full").alias(full), F.coalesce("cut", F.lit(-1)).alias(cut)
         ),
         "plan",
     )
     rows_of = kept.select("*", *paths, ident)
     met = small_join(rows_of, plan, names)
-    more = epoch_hash(col(key), seed, F.col("_full")) <= F.col("_cut")
-    copies = F.col("_full") + more.cast("long")
-    taken = met.withColumn("_n", copies).where(F.col("_n") > 0)
+    more = epoch_hash(col(key), seed, col(full)) <= col(cut)
+    copies = col(full) + more.cast("long")
+    taken = met.withColumn(n, copies).where(col(n) > 0)
     return taken.select(
         *[col(c) for c in kept.columns],
-        F.explode(F.sequence(F.lit(0), (F.col("_n") - 1).cast("int"))).alias("epoch"),
+        F.explode(F.sequence(F.lit(0), (col(n) - 1).cast("int"))).alias("epoch"),
         tokens_of(text).alias("tokens"),
     )
 
@@ -268,7 +270,8 @@ slim AS (SELECT * FROM docs),
 leaves AS (SELECT domain, lang, source, sum(tokens) AS supply, sum(tokens) * {max_epochs} AS cap
   FROM slim GROUP BY ALL),
 {", ".join(steps)},
-parts AS (SELECT domain, lang, source, given // greatest(supply, 1) AS whole,
+parts AS (SELECT domain, lang, source,
+  CASE WHEN supply = 0 THEN {max_epochs} ELSE given // greatest(supply, 1) END AS whole,
   given - given // greatest(supply, 1) * greatest(supply, 1) AS part
   FROM leaves JOIN b2 USING (domain, lang, source)),
 hashed AS (SELECT docs.*, whole, part,

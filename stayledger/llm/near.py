@@ -341,19 +341,25 @@ def near_duplicates(
     kept = without(df, ("class_id", "links"))
     texts = file_stage(similar_texts(df, forest, id_col, text_col), "texts")
     ids = texts.where("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("class_id"))
+    mark, of, root, copies, named_class, near_links = free_names(
+        df, "_key", "_of", "_root", "_copies", "_class", "_links"
+    )
     named = file_stage(
         texts.join(grown(ids), "root", "left").select(
-            F.col("key").alias("_of"), "root", "class_id", "copies", "links"
+            F.col("key").alias(of),
+            F.col("root").alias(root),
+            F.col("class_id").alias(named_class),
+            F.col("copies").alias(copies),
+            F.col("links").alias(near_links),
         ),
         "named",
     )
-    mark = free_names(df, "_key")[0]
     rows = df.select(*kept, F.md5(text_of(text_col)).alias(mark))
-    blank = F.col("root").isNull()
-    return rows.join(grown(named), col(mark) == F.col("_of"), "left").select(
+    blank = col(root).isNull()
+    return rows.join(grown(named), col(mark) == col(of), "left").select(
         *kept,
-        F.when(blank, col(id_col)).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(blank, F.lit(0)).otherwise(F.col("links") + F.col("copies") - 1).cast("long").alias("links"),
+        F.when(blank, col(id_col)).otherwise(col(named_class)).alias("class_id"),
+        F.when(blank, F.lit(0)).otherwise(col(near_links) + col(copies) - 1).cast("long").alias("links"),
     )
 
 
@@ -369,21 +375,19 @@ def keep_one(
     best = texts.where("root IS NOT NULL").groupBy("root").agg(
         F.min(F.struct(F.col("first").isNull(), F.col("first"), F.col("key"))).alias("best")
     )
-    chosen = best.select(F.col("best.key").alias("_of"), F.col("best.first").alias("_first"))
-    blank = texts.where("root IS NULL").select(F.col("key").alias("_of"), F.lit(None).alias("_first"))
+    mark, of, first, one = free_names(df, "_key", "_of", "_first", "_one")
+    chosen = best.select(F.col("best.key").alias(of), F.col("best.first").alias(first))
+    none = F.lit(None).cast(df.schema[id_col].dataType).alias(first)
+    blank = texts.where("root IS NULL").select(F.col("key").alias(of), none)
     kept = file_stage(
-        chosen.withColumn("_one", F.lit(True)).unionByName(
-            blank.withColumn("_one", F.lit(False)).withColumn("_first", F.col("_first").cast(df.schema[id_col].dataType))
-        ),
-        "kept",
+        chosen.withColumn(one, F.lit(True)).unionByName(blank.withColumn(one, F.lit(False))), "kept"
     )
-    mark = free_names(df, "_key")[0]
     marked = df.withColumn(mark, F.md5(text_of(text_col)))
     names = [col(c) for c in df.columns]
     # Copies of a text differ in their id, so they meet their class in different places.
-    own = grown(kept.where("_one"))
-    only = marked.join(own, (col(mark) == F.col("_of")) & col(id_col).eqNullSafe(F.col("_first")))
-    rest = marked.join(grown(kept.where("NOT _one").select("_of")), col(mark) == F.col("_of"))
+    own = grown(kept.where(col(one)))
+    only = marked.join(own, (col(mark) == col(of)) & col(id_col).eqNullSafe(col(first)))
+    rest = marked.join(grown(kept.where(~col(one)).select(col(of))), col(mark) == col(of))
     return only.dropDuplicates([mark]).select(*names).unionByName(rest.select(*names))
 
 

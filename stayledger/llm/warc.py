@@ -13,6 +13,8 @@ BREAK = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+# Control characters and Unicode line ends, which some readers take for the end of a header line.
+CONTROLS = "[\\x00-\\x1F\\x7F-\\x9F\\u2028\\u2029]"
 
 
 def base32_sha1(data: Column) -> Column:
@@ -64,7 +66,7 @@ def record(rows: DataFrame) -> Column:
         F.lit("WARC-Date: 1970-01-01T00:00:00Z"),
         F.concat(
             F.lit("WARC-Target-URI: "),
-            F.regexp_replace(F.coalesce(F.col("uri"), F.lit("about:blank")), "[\\x00-\\x1F]", " "),
+            F.regexp_replace(F.coalesce(F.col("uri"), F.lit("about:blank")), CONTROLS, " "),
         ),
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest")),
         F.concat(F.lit("X-Payload-Length: "), F.col("bytes").cast("string")),
@@ -96,7 +98,7 @@ def write_archives(
     Of rows with equal payloads of at least `min_bytes` bytes the one with the largest id is the
     response and the others are revisits of it; rows that repeat that id are all responses. A null
     payload is empty, a null id is written as `null` and is always a response, control characters
-    in an address become spaces, other columns are not stored. An empty table writes no record.
+    and Unicode line ends in an address become spaces, other columns are not stored. An empty table writes no record.
     """
     rows = pages.select(
         col(id_col).cast("long").alias("id"),
@@ -112,7 +114,8 @@ def write_archives(
 
 
 def header_field(header: Column, name: str) -> Column:
-    return F.regexp_extract(header, f"(?im)^{name}:[ \\t]*([^\\r\\n]*)", 1)
+    """The value of a header line; only CR LF ends a line."""
+    return F.regexp_extract(header, f"(?i)(?:^|\\r\\n){name}:[ \\t]*([^\\r\\n]*)", 1)
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
@@ -235,7 +238,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     Every occurrence of the magic is a candidate record. Tasks emit (offset, successor) pairs, and
     only candidates on the chain from the start of a file are kept, so a magic inside a payload is
     part of that payload. A payload cut by such magics is put together again from its pieces; only
-    those records are grouped, all others pass through one join. An empty folder gives no rows.
+    those records are grouped, all others pass through one join. An empty folder gives no rows. A
+    record without a length has no payload (null) and ends the chain of its file; `unread_tails`
+    reports what lies behind it.
     """
     cut = pieces(spark, path)
     found = file_stage(candidates(cut), "candidates")
@@ -261,7 +266,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         return F.regexp_extract(field(name), "urn:page:(-?[0-9]+)", 1).try_cast("long")
 
     content = F.col("body").substr(F.length("header") + len(BREAK) + 1, F.length("body"))
-    block = F.substring(F.encode(content, "UTF-8"), F.lit(1), field("Content-Length").cast("int"))
+    block = F.substring(F.encode(content, "UTF-8"), F.lit(1), field("Content-Length").try_cast("int"))
     return (
         whole.select(
             "file",
@@ -282,6 +287,25 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def unread_tails(spark: SparkSession, path: str) -> DataFrame:
+    """(file, off, bytes): the part of each archive that no chain of records reaches, if there is one.
+
+    A file that doesn't begin with a record is unread from 0 on; one with a broken record is unread
+    behind it. Files that were written whole give no row.
+    """
+    cut = pieces(spark, path)
+    found = file_stage(candidates(cut), "candidates")
+    chain = reachable(found)
+    size = (F.sum("size") - len(MAGIC)).alias("size")
+    whole = cut.groupBy("file").agg(size)
+    last = chain.join(found, ["file", "off"]).groupBy("file").agg(
+        F.max_by(F.struct("off", "next"), "off").alias("last")
+    )
+    end = F.coalesce("last.next", F.col("last.off") + len(MAGIC), F.lit(0).cast("long"))
+    tails = whole.join(last, "file", "left").select("file", end.alias("off"), (F.col("size") - end).alias("bytes"))
+    return tails.where("bytes > 0")
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract of query 10: write one record per page, read the archives back.
 
