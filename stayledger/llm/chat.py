@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from .common import col, file_stage, table
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
+UNNAMED = "% \t\n\x0b\f\r<>|"  # characters of a name that are written as their codes, so names stay apart
 BLOCK_TURNS = 256  # turns whose places are counted together
 PART_SEGMENTS = 512  # segments of one rendered part
 
@@ -51,7 +53,8 @@ def segments(
     """One row per message and perspective.
 
     Every speaker of a dialogue but the system ones is a perspective. The speaker of the perspective
-    becomes `assistant`, others become named users, system messages stay. Columns: conversation,
+    becomes `assistant`, others become named users (white space, `%` and `<>|` in a name are written as
+    `%` and their code), system messages stay. Columns: conversation,
     perspective, place (from 0), role, segment (rendered text), offset (code points before it in
     the whole rendering), mask_start and mask_end (the assistant's words and end mark, in code
     points of the whole rendering; null for all others).
@@ -62,7 +65,9 @@ def segments(
     perspective and no rows. Other columns are not carried along.
     """
     said = messages.select(
-        F.coalesce(col(conv_col).cast("string"), F.lit("null")).alias("conv"),
+        F.when(col(conv_col).isNull(), "null")
+        .otherwise(F.concat(F.lit("id "), col(conv_col).cast("string")))
+        .alias("conv"),
         col(conv_col).alias("conversation"),
         col(turn_col).cast("long").alias("turn"),
         F.coalesce(col(speaker_col).cast("string"), F.lit("unknown")).alias("speaker"),
@@ -80,7 +85,7 @@ def segments(
         "perspectives",
     )
     seen = placed.join(views, "conv")
-    name = F.regexp_replace("speaker", "[\\s<>|]+", "_")
+    name = reduce(lambda c, x: F.replace(c, F.lit(x), F.lit(f"%{ord(x):02X}")), UNNAMED, F.col("speaker"))
     role = (
         F.when(F.col("speaker").isin(list(system)), "system")
         .when(F.col("speaker") == F.col("perspective"), "assistant")
