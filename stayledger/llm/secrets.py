@@ -32,6 +32,10 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"\\[uUx]([0-9A-Fa-f]+)")
+# Escapes that stand for one byte, and those among them that no plain text needs.
+BYTE_ESCAPE = re.compile(r"\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([nrtabfv'\"\\]))")
+HIGH_ESCAPE = re.compile(r"\\(?:x|u00)[89A-Fa-f][0-9A-Fa-f]")
+SHORT_ESCAPES = dict(zip("nrtabfv'\"\\", (b"\n", b"\r", b"\t", b"\a", b"\b", b"\f", b"\v", b"'", b'"', b"\\")))
 BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
 URLSAFE = re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")
 # Runs that go on in the next lines; nothing is given back, so a scan is linear.
@@ -42,6 +46,8 @@ LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 # Text between other bytes; no secret and no layer that holds one is shorter.
 STRETCH = re.compile(rb"[\t\r\n\x20-\x7e]{12,}")
+LITTLE = re.compile(rb"(?:[\t\r\n\x20-\x7e]\x00){12,}")
+BIG = re.compile(rb"(?:\x00[\t\r\n\x20-\x7e]){12,}")
 UNBROKEN = re.compile(rb"[A-Za-z0-9+/=_%\\\s-]+")
 
 # Bytes of a compressed block that are scanned at once; what is longer is scanned in windows that
@@ -62,20 +68,20 @@ def scan(text: str) -> list[Span]:
     return out
 
 
-def opener(data: bytes) -> Callable | None:
+def opener(data: bytes | memoryview) -> Callable | None:
     found = PACKED.match(data)
     if not found:
         return None
-    if data[:1] == b"\x1f":
+    if found.group()[:1] == b"\x1f":
         return lambda: zlib.decompressobj(31)
-    if data[:1] == b"\x78":
+    if found.group()[:1] == b"\x78":
         return lambda: zlib.decompressobj(15)
-    if data[:1] == b"B":
+    if found.group()[:1] == b"B":
         return bz2.BZ2Decompressor
     return lambda: lzma.LZMADecompressor(memlimit=MAX_UNPACKED * 2)
 
 
-def unpack(data: bytes, left: list[int]) -> Iterator[bytes | None]:
+def unpack(data: bytes | memoryview, left: list[int]) -> Iterator[bytes | None]:
     """Content of a compressed block and of the blocks that follow it, in chunks; None if it needs
     too much memory. `left` gets the number of bytes behind the last block."""
     while make := opener(data):
@@ -92,6 +98,8 @@ def unpack(data: bytes, left: list[int]) -> Iterator[bytes | None]:
                 yield out
             elif not data:
                 break
+        if not tool.eof:
+            return
         data = tool.unused_data.lstrip(b"\0")
         left[:] = [len(data)]
 
@@ -206,16 +214,55 @@ def runs(text: str) -> Iterator[tuple[str, tuple[int, int], Callable[[int], int]
             yield body, m.span(), place
 
 
-def unwrapped(text: str) -> Iterator[tuple[str, Mapper] | None]:
-    """Texts one layer below `text`, each with its way back; None for what can't be unpacked.
+def byte_form(text: str, found: Iterator[re.Match], decode: Callable[[re.Match], bytes]) -> tuple[bytes, Mapper]:
+    """The text as bytes, each escape as what it stands for and any other character as one byte, and
+    the way from its bytes to places of `text`."""
+    coded = text.encode("latin-1", "replace")
+    out: list[bytes] = []
+    sizes, places = [0], [0]  # from a byte on, and where that byte stands; both grow by one in between
+    at = size = 0
+    for m in found:
+        new = decode(m)
+        out += [coded[at : m.start()], new]
+        size += m.start() - at
+        wide = (m.end() - m.start()) // len(new)
+        for k in range(len(new)):
+            sizes.append(size + k)
+            places.append(m.start() + k * wide)
+        size += len(new)
+        at = m.end()
+        sizes.append(size)
+        places.append(at)
+    out.append(coded[at:])
+
+    def place(i: int) -> int:
+        k = bisect.bisect_right(sizes, i) - 1
+        return places[k] + i - sizes[k]
+
+    return b"".join(out), lambda s, e: (place(s), place(e))
+
 
-    A base64 run may begin with other letters, such as a path, so it is decoded from each of its first
-    four characters. Compressed blocks may begin anywhere in the result.
+def _escaped_byte(m: re.Match) -> bytes:
+    return bytes.fromhex(m[1] or m[2]) if m[1] or m[2] else SHORT_ESCAPES[m[3]]
+
+
+def below_text(text: str) -> Iterator[tuple[str | bytes, Mapper]]:
+    """Layers one below `text`, each with its way back.
+
+    Escapes are decoded as text and, where they stand for bytes that are no text, as bytes. A base64
+    run may begin with other letters, such as a path, so it is decoded from each of its first four
+    characters.
     """
-    if "%" in text and (below := replaced(text, PERCENT.finditer(text), _percent)):
-        yield below
-    if "\\" in text and (below := replaced(text, ESCAPE.finditer(text), _escapes)):
-        yield below
+    if "%" in text:
+        if below := replaced(text, PERCENT.finditer(text), _percent):
+            yield below
+        if any(_percent(m.group()) == m.group() for m in PERCENT.finditer(text)):
+            yield byte_form(text, PERCENT.finditer(text), lambda m: bytes.fromhex(m.group().replace("%", "")))
+    if "\\" in text:
+        if below := replaced(text, ESCAPE.finditer(text), _escapes):
+            yield below
+        if HIGH_ESCAPE.search(text):
+            yield byte_form(text, BYTE_ESCAPE.finditer(text), _escaped_byte)
     for body, span, place in runs(text):
         for off in range(4):
             size = len(body) - off
@@ -223,38 +270,98 @@ def unwrapped(text: str) -> Iterator[tuple[str, Mapper] | None]:
             if size < 4:
                 continue
             data = base64.b64decode(body[off : off + size] + "=" * (-size % 4))
-            whole = [(0, 0)]  # blocks unpacked to their ends
-            for found in PACKED.finditer(data):
-                if found.start() < whole[-1][1]:
-                    continue
-                left: list[int] = []
-                for window in windows(unpack(data[found.start() :], left)):
-                    if window is None:
-                        yield None
-                    elif inner := readable(window):
-                        yield inner, lambda s, e, span=span: span
-                if left:
-                    whole.append((found.start(), len(data) - left[0]))
-
-            def back(s: int, e: int, at: int = 0, off=off, body=body, place=place) -> tuple[int, int]:
-                first = off + (at + s) * 4 // 3
-                last = min(len(body), off - (-(at + e) * 4 // 3))
-                return place(first), place(last - 1) + 1
-
-            if inner := readable(data):
-                yield inner, back if len(inner) == len(data) else lambda s, e, span=span: span
+
+            def back(s: int, e: int, off=off, body=body, span=span, place=place, n=len(data)) -> tuple[int, int]:
+                last = min(len(body), off - (-e * 4 // 3))
+                return place(off + s * 4 // 3), span[1] if e == n else place(last - 1) + 1
+
+            yield data, back
+
+
+def ahead(items: Iterator) -> Iterator[tuple[object, bool]]:
+    """The items, each with whether it is the last one."""
+    held = next(items, items)
+    while held is not items:
+        after = next(items, items)
+        yield held, after is items
+        held = after
+
+
+def deflated(data: bytes) -> Iterator[bytes]:
+    """Content of `data` if all of it is one stream without header, else nothing."""
+    for final in (False, True):
+        tool = zlib.decompressobj(-15)
+        rest = data
+        while not tool.eof:
+            try:
+                out = tool.decompress(rest, CHUNK)
+            except zlib.error:
+                return
+            rest = tool.unconsumed_tail
+            if final and out:
+                yield out
+            elif not out and not rest:
+                break
+        if not tool.eof or tool.unused_data:
+            return
+
+
+def below_bytes(data: bytes) -> Iterator[tuple[str | bytes, Mapper] | None]:
+    """Layers one below `data`: the content of compressed blocks, which may begin anywhere, as bytes;
+    the text that the bytes are, or else the texts, of one or two bytes a character, between other
+    bytes. None for what can't be unpacked, and for a block that goes on behind a window."""
+    whole = [(0, 0)]  # blocks unpacked to their ends
+    view = memoryview(data)
+    for found in PACKED.finditer(data):
+        start = found.start()
+        if start < whole[-1][1]:
+            continue
+        left: list[int] = []
+        got = skimmed = False
+        for window, last in ahead(windows(unpack(view[start:], left))):
+            if window is None:
+                yield None
+                continue
+            got = True
+            if not last and not skimmed:  # the block's end is found first
+                skimmed = True
+                for _ in unpack(view[start:], left):
+                    pass
+            span = (start, len(data) - left[0] if left else len(data))
+            yield window, lambda s, e, span=span: span
+        if left:
+            whole.append((start, len(data) - left[0]))
+        elif got and len(data) >= MAX_UNPACKED - 4:
+            yield None
+    if (inner := readable(data)) is not None:
+        same = len(inner) == len(data)
+        yield inner, (lambda s, e: (s, e)) if same else (lambda s, e, n=len(data): (0, n))
+        return
+    if len(data) >= 12 and len(whole) == 1:
+        for window in windows(deflated(data)):
+            if window is not None:
+                yield window, lambda s, e, n=len(data): (0, n)
             else:
-                for m in STRETCH.finditer(data):
-                    if any(a <= m.start() and m.end() <= b for a, b in whole):
-                        continue
-                    yield m.group().decode(), lambda s, e, m=m, back=back: back(s, e, m.start())
+                yield None
+    for pattern, width in ((STRETCH, 1), (LITTLE, 2), (BIG, 2)):
+        for m in pattern.finditer(data):
+            if any(a <= m.start() and m.end() <= b for a, b in whole):
+                continue
+            letters = m.group()[pattern is BIG :: width].decode()
+            yield letters, lambda s, e, at=m.start(), w=width: (at + s * w, at + e * w)
+
+
+def unwrapped(layer: str | bytes) -> Iterator[tuple[str | bytes, Mapper] | None]:
+    return below_text(layer) if isinstance(layer, str) else below_bytes(layer)
 
 
-def met(layer: str) -> str | bytes:
+def met(layer: str | bytes) -> tuple[bool, str | bytes]:
     """What stands for a layer among those met: itself, or its digest if it is long."""
+    text = isinstance(layer, str)
     if len(layer) < 256:
-        return layer
-    return hashlib.blake2b(layer.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        return text, layer
+    raw = layer.encode("utf-8", "surrogatepass") if text else layer
+    return text, hashlib.blake2b(raw, digest_size=16).digest()
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int, int]], int]:
@@ -269,9 +376,9 @@ def find(text: str) -> tuple[list[tuple[str, int, int, int]], int]:
     oversized = 0
     work: list[tuple[Iterator, Mapper]] = []
 
-    def enter(layer: str, home: Mapper) -> None:
+    def enter(layer: str | bytes, home: Mapper) -> None:
         depth = len(work)
-        for kind, s, e in scan(layer):
+        for kind, s, e in scan(layer) if isinstance(layer, str) else ():
             key = (kind, *home(s, e))
             spans[key] = min(depth, spans.get(key, depth))
         work.append((unwrapped(layer), home))
@@ -331,11 +438,12 @@ def find_all(texts: pd.Series) -> pd.DataFrame:
 
 def find_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
     """`df` with `secrets` (kind, start, end, depth; code points, end excluded, sorted by start, then
-    kind) and `oversized` (compressed blocks that need too much memory, and cuts in runs too long for
-    the overlap of two windows).
+    kind) and `oversized` (compressed blocks that need too much memory or, below a compressed one, go on
+    behind a window, and cuts in runs too long for the overlap of two windows).
 
     Depth 0 is the text itself; deeper spans were found below URL, Unicode, base64 or compressed
-    layers and point at the place in the text that holds them. Null and empty texts have no spans.
+    layers and point at the place in the text that holds them. A layer is text or bytes; bytes are
+    read as compressed blocks, as UTF-8, and as letters of one or two bytes between other bytes. Null and empty texts have no spans.
     Each row is scanned on its own and whole, in Arrow batches; repeated rows get equal results, and
     columns named secrets or oversized are replaced.
     """
