@@ -9,10 +9,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import col, file_stage, free_names, table, text_of, without
+from .common import WORD, col, file_stage, free_names, table, text_of, without
 from .components import components
 
 GAP = re.compile(r"[^\x20\x09-\x0D]+")
@@ -21,24 +21,46 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class Forest:
-    """`trees` tries over signatures of `depth` values; the longest prefix whose worst recall, at the
-    similarity `threshold`, reaches `recall` is the one that is matched."""
+    """`trees` tries over signatures of `depth` values.
+
+    Matching begins at whole signatures and shortens their prefixes by `step` values a round, but only
+    below nodes that still hold texts of several groups, and never below `shortest`.
+    """
 
     threshold: float = 0.8
     shingle: int = 5
     trees: int = 32
-    depth: int = 12
+    depth: int = 10
+    step: int = 2
     recall: float = 0.9999
     seed: int = 41
 
+    def recall_at(self, length: int) -> float:
+        """Chance that two texts of just the threshold share a prefix of this length in some tree."""
+        return 1 - (1 - self.threshold**length) ** self.trees
+
     @property
-    def prefix(self) -> int:
-        """Prefixes are shortened from `depth` on until the target recall is met."""
+    def shortest(self) -> int:
+        """The longest prefix whose recall is the target; shorter ones add work only."""
         for length in range(self.depth, 0, -1):
-            if 1 - (1 - self.threshold**length) ** self.trees >= self.recall:
+            if self.recall_at(length) >= self.recall:
                 return length
         raise ValueError("more trees are needed for this recall")
 
+    @property
+    def longest(self) -> int:
+        """A path keeps 7 values below its shortest prefix at most, a byte of each."""
+        return min(self.depth, self.shortest + 7)
+
+    @property
+    def lengths(self) -> list[int]:
+        return [*range(self.longest, self.shortest, -self.step), self.shortest]
+
+    def node(self, length: int) -> list[Column]:
+        """The node of a path (label, tail) at this prefix length."""
+        cut = F.shiftright("tail", 8 * (self.longest - length))
+        return [F.col("label"), cut.alias("twig")]
+
 
 def grown(df: DataFrame) -> DataFrame:
     """A side that grows with the corpus: joined by shuffle at every size, never broadcast."""
@@ -81,38 +103,59 @@ class Shingles:
 
 
 def signatures(docs: DataFrame, forest: Forest) -> DataFrame:
-    """(text, key) rows as (key, size, labels): shingle count and the matched prefix of each tree.
+    """(text, key) rows as (key, size, labels, tails): shingle count and the path of each tree.
 
-    A label is a hash of the prefix, led by the number of its tree.
+    A path is a label, the hash of its tree's number and the shortest prefix, and a tail, a byte of
+    each further value; paths in order of label and tail are the trie, and its nodes are ranges.
     """
     rng = np.random.default_rng(forest.seed)
-    count = forest.trees * forest.prefix
+    shortest, depth = forest.shortest, forest.longest
+    count = forest.trees * depth
     odd = rng.integers(0, 2**32, count, dtype=np.uint32) | np.uint32(1)
     plus = rng.integers(0, 2**32, count, dtype=np.uint32)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(forest.shingle)
         for batch in batches:
-            sizes, labels = [], []
+            sizes, labels, tails = [], [], []
             for text in batch["text"]:
                 s = shingles.of(text, distinct=False)
                 sizes.append(len(s))
                 if not len(s):
                     labels.append([])
+                    tails.append([])
                     continue
                 least = np.full(count, np.iinfo(np.uint32).max, np.uint32)
                 short = (s >> np.uint64(32)).astype(np.uint32)
                 for a in range(0, len(s), 1024):
                     values = short[None, a : a + 1024] * odd[:, None] + plus[:, None]
                     np.minimum(least, values.min(1), out=least)
-                prefix = least.astype(np.uint64).reshape(forest.trees, forest.prefix)
+                path = least.astype(np.uint64).reshape(forest.trees, depth)
                 label = np.arange(forest.trees, dtype=np.uint64)
-                for k in range(forest.prefix):
-                    label = _mixed(label * MIX + prefix[:, k])
+                for k in range(shortest):
+                    label = _mixed(label * MIX + path[:, k])
+                tail = np.zeros(forest.trees, np.int64)
+                for k in range(shortest, depth):
+                    tail = tail << 8 | (path[:, k] & np.uint64(255)).astype(np.int64)
                 labels.append(label.astype(np.int64))
-            yield pd.DataFrame({"key": batch["key"], "size": sizes, "labels": labels})
+                tails.append(tail)
+            yield pd.DataFrame({"key": batch["key"], "size": sizes, "labels": labels, "tails": tails})
 
-    return docs.mapInPandas(sign, "key string, size int, labels array<long>")
+    return docs.mapInPandas(sign, "key string, size int, labels array<long>, tails array<long>")
+
+
+def tries(signed: DataFrame) -> DataFrame:
+    """(label, tail, key), sorted: the paths that share their shortest prefix with another text.
+
+    Written in order of their paths, so a node's rows lie together and fold where they are read; a
+    node of very many texts spreads over several ranges.
+    """
+    path = F.explode(F.arrays_zip("labels", "tails")).alias("path")
+    flat = signed.select("key", path).select("key", "path.labels", "path.tails").toDF("key", "label", "tail")
+    busy = flat.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("label")
+    shared = flat.join(grown(file_stage(busy, "buckets")), "label")
+    order = ["label", "tail", "key"]
+    return file_stage(shared.select(*order).repartitionByRange(*order).sortWithinPartitions(*order), "tries")
 
 
 def shingle_sets(docs: DataFrame, forest: Forest) -> DataFrame:
@@ -127,53 +170,53 @@ def shingle_sets(docs: DataFrame, forest: Forest) -> DataFrame:
     return docs.mapInPandas(cut, "key string, grams array<long>")
 
 
-ROUNDS = 2
-LOOSE = 0.5  # similarity from which a text joins the group of a bucket's centre
+LOOSE = 0.5  # similarity from which a text joins the group of a node's centre
 
 
-def mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(label, key, root) of the buckets whose members are of several groups."""
-    rooted = members.select("label", "key").join(grown(roots.withColumnRenamed("id", "key")), "key")
-    state = rooted.groupBy("label").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = file_stage(state.where("low <> high").select("label"), "mixed")
-    return rooted.join(grown(mixed), "label")
+def mixed_nodes(paths: DataFrame, roots: DataFrame, forest: Forest, length: int) -> DataFrame:
+    """(label, twig, key, root) of the nodes at this prefix length whose texts are of several groups."""
+    rooted = paths.select(*forest.node(length), "key").join(grown(roots.withColumnRenamed("id", "key")), "key")
+    state = rooted.groupBy("label", "twig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = file_stage(state.where("low <> high").select("label", "twig"), "mixed")
+    return file_stage(rooted.join(grown(mixed), ["label", "twig"]), "nodes")
 
 
-def loose_groups(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Groups of texts (id, root), and the buckets that still hold several of them.
+def loose_groups(paths: DataFrame, sets: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
+    """Groups of texts (id, root), and the nodes of the shortest prefix that still hold several.
 
-    In each round every bucket of several groups has a centre, another one each time, and every key
-    is compared with the first centre of another group that its buckets have: as many comparisons as
-    keys, not pairs. Centres come in one order for all buckets, so that near copies mostly meet the
-    same one. Texts that share LOOSE of their shingles join their groups. Copies of one text are soon
-    one group, and a bucket of one group needs nothing more; the few others are compared whole by
-    `cross_links`.
+    Prefixes are shortened round by round. In each, every node of several groups has a centre,
+    another one each time, and every key is compared with the first centre of another group that its
+    nodes have: as many comparisons as keys, not pairs. Centres come in one order for all nodes, so
+    that near copies mostly meet the same one. Texts that share LOOSE of their shingles join their
+    groups. What meets at a long prefix is mostly alike, so near copies are one group before prefixes
+    get short, and a node of one group is not opened again; the few nodes that hold several groups at
+    the shortest prefix are compared whole by `cross_links`.
     """
     right = sets.select(F.col("key").alias("centre"), F.col("grams").alias("centre_grams"))
     links = sets.select(F.col("key").alias("a"), F.col("key").alias("b"))
     roots = sets.select(F.col("key").alias("id"), F.col("key").alias("root"))
-    crowded = members.select("label", "key", F.col("key").alias("root"))
-    for k in range(ROUNDS):
-        if crowded.isEmpty():
-            break
-        first = F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("h"), "key", "root")).alias("first")
-        centres = crowded.groupBy("label").agg(first)
-        pairs = (
-            crowded.join(grown(centres), "label")
-            .where("root <> first.root")
-            .groupBy("key")
-            .agg(F.min("first").alias("first"))
-            .select("key", F.col("first.key").alias("centre"))
-        )
-        compared = file_stage(pairs, "pairs")
-        met = compared.join(grown(sets.select("key", "grams")), "key").join(grown(right), "centre")
-        shared = F.size(F.array_intersect("grams", "centre_grams"))
-        alike = shared / (F.size("grams") + F.size("centre_grams") - shared)
-        found = met.where(alike >= LOOSE).select(F.col("centre").alias("a"), F.col("key").alias("b"))
-        links = file_stage(links.union(found), "links")
-        roots = components(links)
-        crowded = file_stage(mixed_buckets(members, roots), "members")
-    return roots, crowded
+    lengths = forest.lengths
+    crowded = paths.select(*forest.node(lengths[0]), "key", F.col("key").alias("root"))
+    for k, after in enumerate([*lengths[1:], forest.shortest]):
+        if not crowded.isEmpty():
+            first = F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("h"), "key", "root")).alias("first")
+            centres = crowded.groupBy("label", "twig").agg(first)
+            pairs = (
+                crowded.join(grown(centres), ["label", "twig"])
+                .where("root <> first.root")
+                .groupBy("key")
+                .agg(F.min("first").alias("first"))
+                .select("key", F.col("first.key").alias("centre"))
+            )
+            compared = file_stage(pairs, "pairs")
+            met = compared.join(grown(sets.select("key", "grams")), "key").join(grown(right), "centre")
+            shared = F.size(F.array_intersect("grams", "centre_grams"))
+            alike = shared / (F.size("grams") + F.size("centre_grams") - shared)
+            found = met.where(alike >= LOOSE).select(F.col("centre").alias("a"), F.col("key").alias("b"))
+            links = file_stage(links.union(found), "links")
+            roots = components(links)
+        crowded = mixed_nodes(paths, roots, forest, after)
+    return roots, crowded.select("label", "key", "root")
 
 
 # A block of a group holds about this many shingles and texts; blocks meet in pairs.
@@ -224,7 +267,7 @@ def similar(grams: list[np.ndarray], rows: np.ndarray, threshold: float) -> np.n
 
 
 def cross_links(mixed: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
-    """(a, b): links between groups that share a bucket, one per text of the smaller sides."""
+    """(a, b): links between groups that share a node, one per text of the smaller sides."""
     threshold = forest.threshold
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
@@ -291,9 +334,7 @@ def similar_texts(df: DataFrame, forest: Forest, id_col: str, text_col: str) ->
         "copies",
     )
     signed = file_stage(signatures(rows.select("key", "text"), forest).dropDuplicates(["key"]), "signatures")
-    flat = signed.select("key", F.explode_outer("labels").alias("label")).where("label IS NOT NULL")
-    busy = flat.groupBy("label").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("label")
-    members = file_stage(flat.join(grown(file_stage(busy, "buckets")), "label"), "members")
+    members = tries(signed)
     # One row per text: copies differ in their id, so a text with many copies is read from many places.
     wanted = members.select("key").distinct().join(grown(copies.select("key", "first")), "key")
     named = grown(file_stage(wanted.select(F.col("key").alias("of"), "first"), "wanted"))
@@ -301,7 +342,7 @@ def similar_texts(df: DataFrame, forest: Forest, id_col: str, text_col: str) ->
     sets = file_stage(
         shingle_sets(single.select("key", "text"), forest).dropDuplicates(["key"]), "sets"
     )
-    loose, mixed = loose_groups(members, sets)
+    loose, mixed = loose_groups(members, sets, forest)
     if not mixed.isEmpty():
         across = file_stage(cross_links(mixed, sets, forest), "across")
         own = loose.select(F.col("id").alias("a"), F.col("root").alias("b"))
@@ -371,24 +412,19 @@ def keep_one(
     Texts without words stay, all of them. Rows that repeat that id are further told apart by their
     text; of wholly equal ones any one stays.
     """
-    texts = file_stage(similar_texts(df, forest or Forest(), id_col, text_col), "texts")
+    texts = similar_texts(df, forest or Forest(), id_col, text_col)
     best = texts.where("root IS NOT NULL").groupBy("root").agg(
         F.min(F.struct(F.col("first").isNull(), F.col("first"), F.col("key"))).alias("best")
     )
-    mark, of, first, one = free_names(df, "_key", "_of", "_first", "_one")
+    mark, of, first = free_names(df, "_key", "_of", "_first")
     chosen = best.select(F.col("best.key").alias(of), F.col("best.first").alias(first))
-    none = F.lit(None).cast(df.schema[id_col].dataType).alias(first)
-    blank = texts.where("root IS NULL").select(F.col("key").alias(of), none)
-    kept = file_stage(
-        chosen.withColumn(one, F.lit(True)).unionByName(blank.withColumn(one, F.lit(False))), "kept"
-    )
-    marked = df.withColumn(mark, F.md5(text_of(text_col)))
+    kept = file_stage(chosen, "kept")
+    worded = text_of(text_col).rlike(WORD)
     names = [col(c) for c in df.columns]
     # Copies of a text differ in their id, so they meet their class in different places.
-    own = grown(kept.where(col(one)))
-    only = marked.join(own, (col(mark) == col(of)) & col(id_col).eqNullSafe(col(first)))
-    rest = marked.join(grown(kept.where(~col(one)).select(col(of))), col(mark) == col(of))
-    return only.dropDuplicates([mark]).select(*names).unionByName(rest.select(*names))
+    same = (col(mark) == col(of)) & col(id_col).eqNullSafe(col(first))
+    only = df.where(worded).withColumn(mark, F.md5(text_of(text_col))).join(grown(kept), same)
+    return only.dropDuplicates([mark]).select(*names).unionByName(df.where(~worded).select(*names))
 
 
 def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
