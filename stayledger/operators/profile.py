@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import nan_to_null
 from .ordering import exact_quantiles
 
 LEAK_THRESHOLD = 0.85
@@ -187,20 +187,61 @@ def cardinality(
     return counts.withColumn("is_constant", F.col("n_distinct") <= 1)
 
 
+FLAT = 1e-12  # share of the squared size that a spread must exceed, else it is rounding
+
+
+def pair_sums(columns: int):
+    """Function of the Arrow batches of one task: the sums of every pair of columns, as one frame.
+
+    A pair's sums run over the rows where both columns are present; batches fold into six p x p
+    blocks, so memory and output depend on the number of columns only.
+    """
+
+    def run(batches):
+        import numpy as np
+        import pandas as pd
+
+        n, sx, sxx, sxy = (np.zeros((columns, columns)) for _ in range(4))
+        for batch in batches:
+            x = batch.to_numpy(dtype="float64", na_value=np.nan)
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype("float64")
+            n += there.T @ there
+            sx += x.T @ there
+            sxx += (x * x).T @ there
+            sxy += x.T @ x
+        i, j = (axis.ravel() for axis in np.indices((columns, columns)))
+        yield pd.DataFrame(
+            {"i": i, "j": j, "n": n.ravel(), "sx": sx.ravel(), "sy": sx.T.ravel(),
+             "sxx": sxx.ravel(), "syy": sxx.T.ravel(), "sxy": sxy.ravel()}
+        )
+
+    return run
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise correlations, both triangles and the diagonal, from one pass."""
-    pairs = list(combinations(columns, 2))
-    row = df.agg(
-        *[guarded_corr(F.col(a), F.col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-        *[
-            F.when(F.stddev_pop(F.col(c).cast("double")) > 0, F.lit(1.0)).alias(f"d{i}")
-            for i, c in enumerate(columns)
-        ],
+    """Pairwise correlations, both triangles and the diagonal.
+
+    Columns are centered on their means, then one pass adds up products of column pairs in blocks and
+    folds them by pair, so the plan does not grow with the number of pairs. Missing values and
+    not-a-number leave the pair's row out; a pair with a constant column has no correlation.
+    """
+    values = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)])
+    middle = values.agg(*[F.avg(f"v{i}").alias(f"v{i}") for i in range(len(columns))]).first()
+    centered = values.select(*[(F.col(f"v{i}") - F.lit(middle[i] or 0.0)).alias(f"v{i}") for i in range(len(columns))])
+    shape = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    blocks = centered.mapInPandas(pair_sums(len(columns)), shape)
+    sums = blocks.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    x, y = F.col("sxx") - F.try_divide(sx * sx, n), F.col("syy") - F.try_divide(sy * sy, n)
+    spread = (x > F.lit(FLAT) * F.col("sxx")) & (y > F.lit(FLAT) * F.col("syy"))
+    r = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise((F.col("sxy") - sx * sy / n) / F.sqrt(x * y))
+    names = F.array(*[F.lit(c) for c in columns])
+    return sums.select(
+        F.get(names, F.col("i")).alias("feature"),
+        F.get(names, F.col("j")).alias("other"),
+        F.when(spread, r).alias("corr"),
     )
-    cells = [(a, {"other": F.lit(b), "corr": F.col(f"r{i}")}) for i, (a, b) in enumerate(pairs)]
-    cells += [(b, {"other": F.lit(a), "corr": F.col(f"r{i}")}) for i, (a, b) in enumerate(pairs)]
-    cells += [(c, {"other": F.lit(c), "corr": F.col(f"d{i}")}) for i, c in enumerate(columns)]
-    return row.select(long_row(cells))
 
 
 def pivot_rate(

@@ -14,9 +14,16 @@ from pyspark.sql import functions as F
 
 from ..operators import demand, drift, metrics, models, monitoring, pricing, quality, selection
 from ..operators.cleaning import clean, impute_mode
-from ..operators.explain import SUFFIX, contributions, global_importance, signed_effect, train_means
+from ..operators.explain import (
+    LOGIT,
+    SUFFIX,
+    explain_model,
+    extreme_examples,
+    global_importance,
+    signed_effect,
+)
 from ..operators.sampling import sample_fraction
-from ..operators.split import TimePlan, plan_time_folds, time_split, with_period
+from ..operators.split import plan_time_folds, time_split, with_period
 from ..schema import Roles
 from ..session import settle, stage
 from ..streaming.scoring import scored_record
@@ -74,37 +81,36 @@ def train_job(
     final = models.fit_final(
         tables.train, tables.test, plan, tables.features, roles.target, lambda: make(**params)
     )
-    scorer = BookingScorer(roles, tables.encoders, tables.scaler, tables.features, final.model)
-    results = {f"baseline_{k}_prauc": v for k, v in baselines.items()}
-    results |= {"cv_best_prauc": best["pr_auc"]}
-    results |= {f"test_{k}": v for k, v in final.metrics.items()}
+    scorer = BookingScorer(
+        roles,
+        tables.encoders,
+        tables.scaler,
+        tables.features,
+        final.model,
+        models.train_centers(tables.train, tables.features),
+        final.operating,
+    )
+    results = {f"baseline/{name}/{metric}": v for name, metric, v in baselines}
+    results |= {"search/pr_auc": best["pr_auc"], "threshold": final.operating.threshold}
+    results |= {f"test/{kind}/{metric}": v for kind, _, metric, v in final.measured}
     if run_table:
         append_run(spark, run_table, run, {"n_trials": trials, **params}, "param")
         append_run(spark, run_table, run, results, "metric")
     return scorer, results
 
 
-def evaluation_job(
-    tables: PreparedTables,
-    plan: TimePlan,
-    roles: Roles = Roles(),
-    make: Callable[[], Estimator] = models.boosted,
-) -> dict[str, DataFrame]:
-    """Curves, calibration before and after, and costs on the sealed test set.
+def evaluation_job(scorer: BookingScorer, bookings: DataFrame) -> dict[str, DataFrame]:
+    """Curves, calibration before and after, and costs of a fitted or loaded scorer on labelled rows.
 
-    The calibration map is fitted on the latest validation block, which the model does not train on.
+    Nothing is fitted here: threshold and calibration map are those saved with the model.
     """
-    last = plan.folds[-1]
-    rows = models.assemble(tables.train, tables.features, roles.target, [plan.period, plan.id_col])
-    model = make().fit(models.with_pos_weight(plan.train(rows, last)))
-    held = models.positive_score(model, plan.valid(rows, last)).select(models.LABEL, models.SCORE)
-    test_rows = models.assemble(tables.test, tables.features, roles.target)
-    scored = models.positive_score(model, test_rows).select(models.LABEL, models.SCORE)
-    iso = models.fit_isotonic(settle(held), models.LABEL, models.SCORE)
-    scored = settle(models.calibrate(iso, scored, models.SCORE))
-    y, p, q = models.LABEL, models.SCORE, "p_calibrated"
+    if scorer.operating is None:
+        raise ValueError("the scorer was fitted without a threshold and a calibration map")
+    y, p, q = scorer.roles.target, models.SCORE, "p_calibrated"
+    labelled = bookings.where(F.col(y).isNotNull())
+    scored = settle(scorer.transform(labelled, (y,), calibrated=True))
     before, after = (metrics.calibration_bins(scored, y, c) for c in (p, q))
-    return {
+    report = {
         "metrics": metrics.binary_metrics(scored, y, p),
         "roc": metrics.roc_points(scored, y, p),
         "pr": metrics.pr_points(scored, y, p),
@@ -114,6 +120,9 @@ def evaluation_job(
         "summary_after": metrics.calibration_summary(after),
         "cost": metrics.cost_curve(scored, y, p),
     }
+    if scorer.operating.threshold is not None:
+        report["metrics_operating"] = metrics.binary_metrics(scored, y, p, scorer.operating.threshold)
+    return report
 
 
 def selection_job(
@@ -131,17 +140,16 @@ def selection_job(
     return rankings, selection.consensus_ranking(rankings)
 
 
-def explanation_job(tables: PreparedTables, roles: Roles = Roles()) -> dict[str, DataFrame]:
-    """Fit a logistic model and explain every test row with its exact additive contributions."""
-    rows = models.with_pos_weight(models.assemble(tables.train, tables.features, roles.target))
-    model = models.logistic(regParam=0.01).fit(rows)
-    coefs = dict(zip(tables.features, [float(w) for w in model.coefficients], strict=True))
-    means = train_means(tables.train, tables.features)
-    explained = contributions(tables.test, coefs, means)
+def explanation_job(scorer: BookingScorer, bookings: DataFrame) -> dict[str, DataFrame]:
+    """Explain the scorer's own model: every row, every feature, and the two extreme rows."""
+    roles, features = scorer.roles, scorer.features
+    rows = scorer.feature_rows(bookings, (roles.id,))
+    explained = stage(explain_model(scorer.model, rows, roles.id, features, scorer.centers), "explained")
     return {
-        "rows": explained.select(roles.id, *[f + SUFFIX for f in tables.features]),
-        "global": global_importance(explained, tables.features),
-        "signed": signed_effect(explained, tables.features),
+        "rows": explained.select(roles.id, *[f + SUFFIX for f in features], LOGIT),
+        "global": global_importance(explained, features),
+        "signed": signed_effect(explained, features),
+        "examples": extreme_examples(explained, roles.id, features),
     }
 
 

@@ -7,17 +7,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scalar import linear, sigmoid
 from ..operators import demand as D
 from ..operators import models as M
 from ..operators import selection as S
 from ..operators.imbalance import oversample_minority
+from ..operators.isotonic import calibrate, fit_isotonic
 from ..operators.split import plan_time_folds, time_split
 from ..session import settle
 from ..sources.tables import bookings, staged_bookings
 from . import jobs
 from .queries_cleaning import CEILING
 from .queries_demand import KEY, country_series
-from .queries_features import ROLES, SCORED, scored
+from .queries_features import ROLES, SCORE_INTERCEPT, SCORE_TERMS
 from .registry import BOOKINGS, SPLIT, query, rounded, sql_over
 from .scorer import fit_scorer, prepare_tables
 
@@ -56,27 +58,39 @@ def _oversample_parity(spark, sf):
 
 @query(
     "isotonic_calibration",
-    sql_over(
-        SCORED,
-        "held AS (SELECT round(p, 2) AS x, is_canceled AS y FROM scored WHERE period <= 199812)",
-        "g AS (SELECT x, row_number() OVER (ORDER BY x) AS i, sum(y) AS s, count(*) AS w FROM held GROUP BY x)",
-        "c AS (SELECT x, i, sum(s) OVER (ORDER BY i) AS cs, sum(w) OVER (ORDER BY i) AS cw, s, w FROM g)",
-        """block AS (SELECT a.i AS j, b.i AS k, (b.cs - a.cs + a.s) / (b.cw - a.cw + a.w) AS m
-          FROM c a JOIN c b ON b.i >= a.i)""",
-        """best AS (SELECT j, k AS i, min(m) OVER (PARTITION BY j ORDER BY k DESC) AS low FROM block)""",
-        """fitted AS (SELECT c.x, max(low) AS y FROM best JOIN c USING (i) GROUP BY c.x)""",
-        """bounds AS (SELECT min(x) AS lo, max(x) AS hi FROM fitted)""",
-        """late AS (SELECT booking_id, greatest(least(round(p, 2), hi), lo) AS x FROM scored, bounds
-          WHERE period > 199812)""",
-        select="""SELECT booking_id, round(y, 6) AS p_calibrated FROM late JOIN fitted USING (x)""",
-    ),
+    """WITH RECURSIVE rated AS (
+      SELECT o_orderkey AS booking_id, CAST(o_orderstatus = 'F' AS INTEGER) AS y,
+        year(o_orderdate) * 100 + month(o_orderdate) AS period,
+        1 / (1 + exp(-(-2.5 + 0.00001 * o_totalprice))) AS x FROM orders),
+    g AS (SELECT x, row_number() OVER (ORDER BY x) AS i, sum(y) AS s, count(*) AS w
+      FROM rated WHERE period <= 199812 GROUP BY x),
+    c AS (SELECT x, i, sum(s) OVER (ORDER BY i) AS cs, sum(w) OVER (ORDER BY i) AS cw FROM g),
+    -- the map's blocks are the edges of the lower hull of the running sums, walked from the left
+    hull(i, cs, cw) AS (
+      SELECT CAST(0 AS BIGINT), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE)
+      UNION ALL
+      SELECT e.i, e.cs, e.cw FROM (
+        SELECT arg_min(struct_pack(i := c.i, cs := CAST(c.cs AS DOUBLE), cw := CAST(c.cw AS DOUBLE)),
+          struct_pack(slope := (c.cs - h.cs) / (c.cw - h.cw), far := -c.i)) AS e
+        FROM hull h JOIN c ON c.i > h.i GROUP BY h.i)),
+    edges AS (SELECT i, lag(i) OVER (ORDER BY i) + 1 AS j,
+      (cs - lag(cs) OVER (ORDER BY i)) / (cw - lag(cw) OVER (ORDER BY i)) AS y FROM hull),
+    blocks AS (SELECT a.x AS lo, b.x AS hi, y, lead(a.x) OVER (ORDER BY a.x) AS lo2,
+        lead(y) OVER (ORDER BY a.x) AS y2
+      FROM edges JOIN c a ON a.i = edges.j JOIN c b ON b.i = edges.i),
+    late AS (SELECT booking_id, greatest(x, (SELECT min(lo) FROM blocks)) AS x FROM rated
+      WHERE period > 199812)
+    SELECT booking_id, round(CASE WHEN x <= hi OR lo2 IS NULL THEN y
+      ELSE y + (x - hi) * (y2 - y) / (lo2 - hi) END, 6) AS p_calibrated
+    FROM late ASOF JOIN blocks ON late.x >= blocks.lo""",
 )
 def _isotonic_calibration(spark, sf):
-    """Map fitted on the earlier periods, applied to the later ones."""
-    rows = scored(spark, sf, ["booking_id", LABEL, "period"]).withColumn("p", F.round("p", 2))
+    """Map fitted on the earlier periods' unrounded scores, applied to the later ones."""
+    rows = bookings(spark, sf, ["booking_id", LABEL, "period", "price"])
+    rows = rows.withColumn("p", sigmoid(linear(SCORE_TERMS, SCORE_INTERCEPT)))
     early, late = rows.where("period <= 199812"), rows.where("period > 199812")
-    model = M.fit_isotonic(early, LABEL, "p")
-    return rounded(M.calibrate(model, late, "p").select("booking_id", "p_calibrated"))
+    fitted = fit_isotonic(early, LABEL, "p")
+    return rounded(calibrate(fitted, late, "p").select("booking_id", "p_calibrated"))
 
 
 @query("logreg_baseline")
@@ -122,8 +136,8 @@ def _permutation_importance(spark, sf):
 def _final_fit_metrics(spark, sf):
     train, test, _ = time_split(_rows(spark, sf))
     fitted = M.fit_final(train, test, _folds(train), FEATURES, LABEL, small_trees)
-    pairs = sorted(fitted.metrics.items())
-    return spark.createDataFrame([(k, float(v)) for k, v in pairs], "metric string, value double")
+    shape = "threshold_kind string, threshold double, metric string, value double"
+    return spark.createDataFrame(fitted.measured, shape)
 
 
 @query("resampling_trap")

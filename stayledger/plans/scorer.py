@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.util import DefaultParamsReader
@@ -13,9 +13,21 @@ from pyspark.sql import functions as F
 
 from ..operators.encode import EncoderState, encode_train_test
 from ..operators.features import engineer
-from ..operators.models import SCORE, assemble, boosted, positive_score, with_pos_weight
+from ..operators.isotonic import IsotonicMap
+from ..operators.models import (
+    SCORE,
+    Operating,
+    assemble,
+    boosted,
+    fit_operating,
+    hold_out,
+    positive_score,
+    train_centers,
+    with_pos_weight,
+)
 from ..operators.quality import align_schema, require_model_ready
 from ..operators.scale import ScalerState, columns_to_scale, fit_scaler
+from ..operators.split import TimePlan
 from ..schema import Roles
 from ..session import stage
 
@@ -29,6 +41,8 @@ class BookingScorer:
     scaler: ScalerState
     features: list[str]
     model: Model
+    centers: dict[str, float] = field(default_factory=dict)  # train means, for explanations
+    operating: Operating | None = None
 
     def feature_rows(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         """Raw bookings as the model's columns: engineered, encoded, scaled and aligned.
@@ -41,11 +55,17 @@ class BookingScorer:
         aligned = align_schema(scaled, [*kept, *self.features]).fillna(0, self.features)
         return aligned.withColumnsRenamed({k: k.removeprefix("_keep_") for k in kept})
 
-    def transform(self, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-        """Add the cancellation probability `p`; works on tables and on streams."""
+    def transform(
+        self, df: DataFrame, keep: tuple[str, ...] = (), calibrated: bool = False
+    ) -> DataFrame:
+        """Add the cancellation probability `p`; works on tables and on streams.
+
+        `calibrated` adds `p_calibrated` by the map that is saved with the model.
+        """
         rows = self.feature_rows(df, keep).withColumn(ABSENT_LABEL, F.lit(None).cast("double"))
         scored = positive_score(self.model, assemble(rows, self.features, ABSENT_LABEL, keep))
-        return scored.select(*keep, SCORE)
+        out = scored.select(*keep, SCORE)
+        return self.operating.calibration.apply(out, SCORE, "p_calibrated") if calibrated else out
 
     def save(self, path: str) -> None:
         spark = self.encoders.frequency.sparkSession
@@ -61,7 +81,12 @@ class BookingScorer:
             "drop_after": self.encoders.drop_after,
             "scaler_kind": self.scaler.kind,
             "features": self.features,
+            "centers": self.centers,
+            "threshold": self.operating.threshold if self.operating else None,
+            "calibrated": self.operating is not None,
         }
+        if self.operating:
+            self.operating.calibration.save(f"{path}/calibration")
         row = spark.createDataFrame([(json.dumps(small),)], "value string").coalesce(1)
         row.write.mode("overwrite").text(f"{path}/settings")
 
@@ -85,7 +110,12 @@ class BookingScorer:
             {r["feature"]: r["scale"] for r in rows},
         )
         model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
-        return cls(Roles(**roles), encoders, scaler, small["features"], model)
+        operating = None
+        if small.get("calibrated"):
+            operating = Operating(small["threshold"], IsotonicMap.load(spark, f"{path}/calibration"))
+        return cls(
+            Roles(**roles), encoders, scaler, small["features"], model, small.get("centers", {}), operating
+        )
 
 
 @dataclass
@@ -123,8 +153,18 @@ def prepare_tables(
 
 
 def fit_scorer(
-    tables: PreparedTables, roles: Roles = Roles(), make: Callable[[], Estimator] = boosted
+    tables: PreparedTables,
+    roles: Roles = Roles(),
+    make: Callable[[], Estimator] = boosted,
+    plan: TimePlan | None = None,
 ) -> BookingScorer:
-    rows = assemble(tables.train, tables.features, roles.target)
-    model = make().fit(with_pos_weight(rows))
-    return BookingScorer(roles, tables.encoders, tables.scaler, tables.features, model)
+    """Fit on all train rows. With a `plan`, threshold and calibration come from its last fold."""
+    train = tables.train.where(F.col(roles.target).isNotNull())
+    model = make().fit(with_pos_weight(assemble(train, tables.features, roles.target)))
+    operating = None
+    if plan:
+        operating = fit_operating(hold_out(train, plan, tables.features, roles.target, make))
+    centers = train_centers(train, tables.features)
+    return BookingScorer(
+        roles, tables.encoders, tables.scaler, tables.features, model, centers, operating
+    )

@@ -79,25 +79,52 @@ def test_train_job_records_the_run(spark, sides, tmp_path):
     def draw(rng):
         return {"maxIter": rng.randint(2, 3), "maxDepth": 2}
 
-    _, results = jobs.train_job(train, test, ROLES, trials=2, folds=2, run_table=table, draw=draw)
-    assert results["test_roc_auc"] > 0.55 and 0 < results["baseline_dummy_prauc"] < 1
+    scorer, results = jobs.train_job(train, test, ROLES, trials=2, folds=2, run_table=table, draw=draw)
+    assert results["test/default/roc_auc"] > 0.55 and 0 < results["baseline/prior/pr_auc"] < 1
+    assert scorer.operating.threshold == results["threshold"]
     logged = {r.name for r in spark.read.parquet(table).where("kind = 'metric'").collect()}
-    assert {"test_pr_auc", "baseline_logreg_prauc", "cv_best_prauc"} <= logged
+    assert {"test/operating/pr_auc", "baseline/logistic/pr_auc", "search/pr_auc", "threshold"} <= logged
 
 
-def test_evaluation_selection_explanation(tables):
+def test_a_loaded_scorer_is_evaluated_and_explained_without_a_fit(spark, sides, tables, tmp_path, monkeypatch):
+    """Evaluation and explanation of the saved state equal those of the fitted one."""
+    _, test = sides
     plan = plan_time_folds(tables.train, "period", ROLES.id, "expanding", 3)
-    report = jobs.evaluation_job(tables, plan, ROLES, small)
-    after = report["summary_after"].first()
-    assert 0 <= after.ece <= 1 and report["cost"].where("is_best").count() == 1
-    assert report["roc"].count() <= 100 and report["pr"].count() <= 100
+    fitted = fit_scorer(tables, ROLES, small, plan)
+    path = str(tmp_path / "scorer")
+    fitted.save(path)
+    loaded = BookingScorer.load(spark, path)
+    assert loaded.operating.threshold == fitted.operating.threshold and loaded.centers == fitted.centers
+
+    from pyspark.ml import Estimator
+
+    def refuse(*args, **kwargs):
+        raise AssertionError("evaluation must not fit")
+
+    monkeypatch.setattr(Estimator, "fit", refuse)
+    a, b = jobs.evaluation_job(fitted, test), jobs.evaluation_job(loaded, test)
+    for part in ("metrics", "metrics_operating", "summary_before", "summary_after"):
+        assert a[part].first().asDict() == pytest.approx(b[part].first().asDict(), nan_ok=True)
+    after = b["summary_after"].first()
+    assert 0 <= after.ece <= 1 and b["cost"].where("is_best").count() == 1
+    assert b["roc"].count() <= 100 and b["pr"].count() <= 100
+
+    explained = jobs.explanation_job(loaded, test)
+    assert explained["rows"].count() == test.count() and explained["signed"].count() == 10
+    scores = {r[0]: r.p for r in loaded.transform(test, (ROLES.id,)).collect()}
+    high, low = (explained["examples"].where(F.col("which") == w).first() for w in ("high", "low"))
+    assert scores[high[ROLES.id]] == pytest.approx(max(scores.values()))
+    assert scores[low[ROLES.id]] == pytest.approx(min(scores.values()))
+    assert len(high.top) == 6 and abs(high.top[0].contribution) >= abs(high.top[5].contribution)
+    with pytest.raises(ValueError):
+        jobs.evaluation_job(BookingScorer(**{**loaded.__dict__, "operating": None}), test)
+
+
+def test_selection(tables):
     rankings, consensus = jobs.selection_job(tables, ROLES, keep=45, trees=2)
     best = [r.feature for r in consensus.limit(12).collect()]
     assert set(rankings) == {"mutual_info", "anova_f", "l1", "tree", "rfe"}
     assert any(f.startswith(("lead_", "deposit_type", "risk_score")) for f in best)
-    explained = jobs.explanation_job(tables, ROLES)
-    assert explained["rows"].count() == tables.test.count()
-    assert explained["signed"].count() == 10
 
 
 def test_monitoring_holds_and_fires(sides, scorer):
