@@ -199,7 +199,7 @@ class Operating:
 class FittedModel:
     model: Model
     operating: Operating
-    measured: list[tuple[str, float, str, float]]  # (threshold kind, threshold, metric, value)
+    measured: list[tuple[str, float, str, float | None]]  # (threshold kind, threshold, metric, value)
 
 
 def fit_operating(held: DataFrame) -> Operating:
@@ -245,7 +245,9 @@ def fit_final(
     for kind, threshold in (("default", 0.5), ("operating", operating.threshold)):
         if threshold is not None:
             at = binary_metrics(scored, LABEL, SCORE, threshold).first().asDict()
-            measured += [(kind, float(threshold), name, value) for name, value in at.items()]
+            measured += [
+                (kind, float(threshold), name, None if v is None else float(v)) for name, v in at.items()
+            ]
     return FittedModel(model, operating, measured)
 
 
