@@ -6,7 +6,7 @@ import itertools
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -164,21 +164,22 @@ def padded(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.nd
 def fit_field(rows: pd.DataFrame, epochs: int = 6, rate: float = 0.25, batch: int = 512) -> Field:
     """The field for a labelled sample, by adaptive gradient steps on the chains' likelihood."""
     toxic = token_labels(rows)
-    texts = [tokens(t) for t in rows["text"]]
+    # Tokens become numbers text by text: as strings, all of them together fill the driver.
+    vocabulary: dict[str, int] = defaultdict(itertools.count().__next__)
+    texts = [np.fromiter(map(vocabulary.__getitem__, tokens(t)), np.int32) for t in rows["text"]]
     lengths = np.array([len(t) for t in texts], int)
-    flat = list(itertools.chain.from_iterable(texts))
-    if not flat:
+    if not vocabulary:
         zero = np.zeros(SLOTS)
         return Field(zero, zero, zero, np.zeros((2, 2)), np.zeros(2), np.array([0.0, 0.0, -3.0]))
-    vocabulary = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-    ids = np.array([vocabulary[w] for w in flat])
+    ids = np.concatenate(texts)
+    del texts
     widest = 7
     feats = np.full((len(vocabulary) + 1, widest), SLOTS)
     for w, i in vocabulary.items():
         places = own_features(w)
         feats[i, : len(places)] = places
     context = np.array([slot("w", w.lower()) for w in vocabulary] + [SLOTS])
-    label = np.array([toxic.get(w, False) for w in vocabulary], float)[ids]
+    label = np.array([toxic.get(w, False) for w in vocabulary])[ids]
     ends = np.array([w in ENDS for w in vocabulary])[ids]
     start, size = chains(lengths, ends)
     if not len(start):
@@ -238,7 +239,8 @@ def fit_field(rows: pd.DataFrame, epochs: int = 6, rate: float = 0.25, batch: in
             first2 += g * g
             first -= rate * g / np.sqrt(first2)
     field = Field(w["own"], w["before"], w["after"], steps, first, np.zeros(3))
-    hits = Scorer(field).chances(list(rows["text"]))
+    scorer, whole = Scorer(field), list(rows["text"])
+    hits = (c for a, b in grouped(whole, 500_000) for c in scorer.chances(whole[a:b]))
     x = np.array([summary(c) for c in hits])
     return Field(w["own"], w["before"], w["after"], steps, first, logistic(x, rows["label"].to_numpy(float)))
 
