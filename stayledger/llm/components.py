@@ -14,12 +14,11 @@ def components(edges: DataFrame) -> DataFrame:
     Each round takes the smallest root among a node's neighbours, folded map-side, and then the root
     of that root, so rounds are logarithmic in practice even on long paths. The edge table is read
     as it was written; every round's result is a written table, and a join on it can be split where
-    one root holds many nodes. Self-loops give single components; null ends are left out.
+    one root holds many nodes. Self-loops give single components; null ends are left out,
+    and edges that come twice count once.
     """
     real = edges.where("a IS NOT NULL AND b IS NOT NULL").select("a", "b")
-    both = file_stage(
-        real.union(real.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges"
-    )
+    both = file_stage(real.union(real.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     roots = file_stage(
         both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("id")).alias("root")), "roots"
     )

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -159,64 +160,95 @@ def tries(signed: DataFrame) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, forest: Forest) -> DataFrame:
-    """(text, key) rows as (key, grams): the sorted shingle hashes."""
+    """(key, copies, text) rows as (key, copies, n, grams): the sorted shingle hashes and their number."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles = Shingles(forest.shingle)
         for batch in batches:
             grams = [shingles.of(t).astype(np.int64) for t in batch["text"]]
-            yield pd.DataFrame({"key": batch["key"], "grams": grams})
+            yield batch[["key", "copies"]].assign(n=[len(g) for g in grams], grams=grams)
 
-    return docs.mapInPandas(cut, "key string, grams array<long>")
+    return docs.mapInPandas(cut, "key string, copies long, n long, grams array<long>")
 
 
 LOOSE = 0.5  # similarity from which a text joins the group of a node's centre
 
 
-def mixed_nodes(paths: DataFrame, roots: DataFrame, forest: Forest, length: int) -> DataFrame:
-    """(label, twig, key, root) of the nodes at this prefix length whose texts are of several groups."""
-    rooted = paths.select(*forest.node(length), "key").join(grown(roots.withColumnRenamed("id", "key")), "key")
-    state = rooted.groupBy("label", "twig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = file_stage(state.where("low <> high").select("label", "twig"), "mixed")
-    return file_stage(rooted.join(grown(mixed), ["label", "twig"]), "nodes")
+def at_nodes(paths: DataFrame, roots: DataFrame, forest: Forest, length: int) -> DataFrame:
+    """(label, twig, key, root, n): the texts of every node at this prefix length with their groups."""
+    return paths.select(*forest.node(length), "key").join(grown(roots), "key")
 
 
-def loose_groups(paths: DataFrame, sets: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
-    """Groups of texts (id, root), and the nodes of the shortest prefix that still hold several.
+def moved(roots: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """`roots` after the groups that have links to others moved to them.
+
+    A group goes to the first of its centres' groups. The order of a round falls along these steps, so
+    they make trees; two jumps lead up to four steps ahead. What is still apart then meets in the
+    next round, or at last when the links are followed to their ends.
+    """
+    order = F.struct(F.xxhash64("other", F.lit(k)).alias("h"), "other")
+    steps = file_stage(found.groupBy("root").agg(F.min(order)["other"].alias("other")), "steps")
+    for _ in range(2):
+        ahead = steps.select(F.col("root").alias("other"), F.col("other").alias("far"))
+        steps = steps.join(grown(ahead), "other", "left").select("root", F.coalesce("far", "other").alias("other"))
+    return file_stage(
+        roots.join(grown(steps), "root", "left").select("key", F.coalesce("other", "root").alias("root"), "n"),
+        "roots",
+    )
+
+
+def loose_links(paths: DataFrame, sets: DataFrame, forest: Forest) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) that make loose groups, and the nodes (label, key, root, n) of the shortest prefix
+    that still hold several groups.
 
     Prefixes are shortened round by round. In each, every node of several groups has a centre,
     another one each time, and every key is compared with the first centre of another group that its
     nodes have: as many comparisons as keys, not pairs. Centres come in one order for all nodes, so
-    that near copies mostly meet the same one. Texts that share LOOSE of their shingles join their
-    groups. What meets at a long prefix is mostly alike, so near copies are one group before prefixes
-    get short, and a node of one group is not opened again; the few nodes that hold several groups at
-    the shortest prefix are compared whole by `cross_links`.
+    that near copies mostly meet the same one. Texts that share LOOSE of their shingles are linked,
+    and their group moves to the centre's. What meets at a long prefix is mostly alike, so near copies
+    are one group before prefixes get short, and a node of one group is not opened again; the few
+    nodes that hold several groups at the shortest prefix are compared whole by `cross_links`. Texts
+    of equal root are always connected by links; those of other roots may be.
     """
     right = sets.select(F.col("key").alias("centre"), F.col("grams").alias("centre_grams"))
-    links = sets.select(F.col("key").alias("a"), F.col("key").alias("b"))
-    roots = sets.select(F.col("key").alias("id"), F.col("key").alias("root"))
-    lengths = forest.lengths
-    crowded = paths.select(*forest.node(lengths[0]), "key", F.col("key").alias("root"))
-    for k, after in enumerate([*lengths[1:], forest.shortest]):
-        if not crowded.isEmpty():
-            first = F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("h"), "key", "root")).alias("first")
-            centres = crowded.groupBy("label", "twig").agg(first)
-            pairs = (
-                crowded.join(grown(centres), ["label", "twig"])
-                .where("root <> first.root")
-                .groupBy("key")
-                .agg(F.min("first").alias("first"))
-                .select("key", F.col("first.key").alias("centre"))
-            )
-            compared = file_stage(pairs, "pairs")
-            met = compared.join(grown(sets.select("key", "grams")), "key").join(grown(right), "centre")
-            shared = F.size(F.array_intersect("grams", "centre_grams"))
-            alike = shared / (F.size("grams") + F.size("centre_grams") - shared)
-            found = met.where(alike >= LOOSE).select(F.col("centre").alias("a"), F.col("key").alias("b"))
-            links = file_stage(links.union(found), "links")
-            roots = components(links)
-        crowded = mixed_nodes(paths, roots, forest, after)
-    return roots, crowded.select("label", "key", "root")
+    roots = sets.select("key", F.col("key").alias("root"), "n")
+    links = []
+    for k, length in enumerate(forest.lengths):
+        nodes = at_nodes(paths, roots, forest, length) if links else paths.select(
+            *forest.node(length), "key", F.col("key").alias("root")
+        )
+        order = F.struct(
+            F.xxhash64("root", F.lit(k)).alias("h"), F.xxhash64("key", F.lit(k)).alias("g"), "key", "root"
+        )
+        centres = (
+            nodes.groupBy("label", "twig")
+            .agg(F.min(order).alias("first"), F.min("root").alias("low"), F.max("root").alias("high"))
+            .where("low <> high")
+            .select("label", "twig", "first")
+        )
+        pairs = (
+            nodes.join(grown(centres), ["label", "twig"])
+            .where("root <> first.root")
+            .groupBy("key")
+            .agg(F.min("first").alias("first"), F.min("root").alias("root"))
+            .select("key", "root", F.col("first.key").alias("centre"), F.col("first.root").alias("other"))
+        )
+        met = pairs.join(grown(sets.select("key", "grams")), "key").join(grown(right), "centre")
+        shared = F.size(F.array_intersect("grams", "centre_grams"))
+        alike = shared / (F.size("grams") + F.size("centre_grams") - shared)
+        found = file_stage(
+            met.where(alike >= LOOSE).select(F.col("centre").alias("a"), F.col("key").alias("b"), "root", "other"),
+            "links",
+        )
+        links.append(found.select("a", "b"))
+        roots = moved(roots, found, k)
+    nodes = at_nodes(paths, roots, forest, forest.shortest)
+    state = nodes.groupBy("label", "twig").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = state.where("low <> high").select("label", "twig")
+    crowded = file_stage(nodes.join(grown(mixed), ["label", "twig"]).drop("twig"), "nodes")
+    # The roots join what is already linked, so that few steps lead through any group.
+    own = roots.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b"))
+    return reduce(DataFrame.union, links, own), crowded
 
 
 # A block of a group holds about this many shingles and texts; blocks meet in pairs.
@@ -224,11 +256,12 @@ BLOCK_SHINGLES, BLOCK_TEXTS = 200_000, 256
 
 
 def dealt(groups: DataFrame, sets: DataFrame, by: str) -> DataFrame:
-    """`groups` with shingles, in meetings of two blocks (one, two) of the same `by`.
+    """`groups` with shingles in place of their number n, in meetings of two blocks (one, two) of the
+    same `by`.
 
     A group is dealt into blocks by hash, in proportion to its size, and every pair of blocks meets.
     """
-    sizes = groups.join(grown(sets.select("key", F.size("grams").alias("n"))), "key").groupBy(by).agg(
+    sizes = groups.groupBy(by).agg(
         F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_TEXTS))
         .cast("int")
         .alias("blocks")
@@ -236,7 +269,7 @@ def dealt(groups: DataFrame, sets: DataFrame, by: str) -> DataFrame:
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     placed = groups.join(grown(file_stage(sizes, "blocks")), by).withColumn("block", block)
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    meeting = file_stage(placed.select("*", others), "meetings")
+    meeting = file_stage(placed.select("*", others).drop("n"), "meetings")
     return (
         meeting.join(grown(sets.select("key", "grams")), "key")
         .withColumn("one", F.least("block", "other"))
@@ -292,7 +325,7 @@ def verified(groups: DataFrame, sets: DataFrame, forest: Forest) -> DataFrame:
     """(key, links, near) per text and meeting of blocks of its group: how many documents of other
     texts are similar to it there, and the smallest text that it is connected to.
 
-    `groups` is (key, root, copies). Every meeting is one task group that compares all its texts
+    `groups` is (key, root, copies, n). Every meeting is one task group that compares all its texts
     exactly and emits one row per text, never one per pair.
     """
     threshold = forest.threshold
@@ -336,22 +369,21 @@ def similar_texts(df: DataFrame, forest: Forest, id_col: str, text_col: str) ->
     signed = file_stage(signatures(rows.select("key", "text"), forest).dropDuplicates(["key"]), "signatures")
     members = tries(signed)
     # One row per text: copies differ in their id, so a text with many copies is read from many places.
-    wanted = members.select("key").distinct().join(grown(copies.select("key", "first")), "key")
-    named = grown(file_stage(wanted.select(F.col("key").alias("of"), "first"), "wanted"))
+    wanted = members.select("key").distinct().join(grown(copies), "key")
+    named = grown(file_stage(wanted.select(F.col("key").alias("of"), "first", "copies"), "wanted"))
     single = rows.join(named, (F.col("key") == F.col("of")) & F.col("id").eqNullSafe(F.col("first")))
     sets = file_stage(
-        shingle_sets(single.select("key", "text"), forest).dropDuplicates(["key"]), "sets"
+        shingle_sets(single.select("key", "copies", "text"), forest).dropDuplicates(["key"]), "sets"
     )
-    loose, mixed = loose_groups(members, sets, forest)
+    edges, mixed = loose_links(members, sets, forest)
     if not mixed.isEmpty():
-        across = file_stage(cross_links(mixed, sets, forest), "across")
-        own = loose.select(F.col("id").alias("a"), F.col("root").alias("b"))
-        loose = components(own.union(across))
-    sizes = loose.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("root")
-    loose = loose.join(grown(file_stage(sizes, "sizes")), "root")
-    groups = file_stage(loose.join(grown(copies.select("key", "copies")), F.col("id") == F.col("key")).select(
-        "key", "root", "copies"
-    ), "groups")
+        edges = edges.union(file_stage(cross_links(mixed, sets, forest), "across"))
+    loose = components(edges)
+    known = sets.select("key", "copies", "n")
+    groups = file_stage(
+        loose.withColumnRenamed("id", "key").join(grown(known), "key").select("key", "root", "copies", "n"),
+        "groups",
+    )
     checked = file_stage(verified(groups, sets, forest), "checked")
     links = checked.groupBy("key").agg(F.sum("links").alias("links"))
     classes = components(checked.select(F.col("key").alias("a"), F.col("near").alias("b")))
