@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import interior_bin, level_key, psi_class
 from ..operators.drift import ks_of_groups, psi_of_cells, reference_edges
-from ..operators.ordering import range_splits
+from ..operators.ordering import range_splits, with_range
 from ..operators.profile import long_row
 
 COUNT_KEYS = ["feature", "value", "level"]
@@ -100,6 +100,15 @@ def by_feature(features: Sequence[str], make) -> Column:
     return out
 
 
+def with_own_range(groups: DataFrame, ref: FrozenReference) -> DataFrame:
+    """Add the value range of each row's feature, by binary search: there may be thousands of ranges."""
+    ranges = {f: f"_range_{i}" for i, f in enumerate(ref.numerics)}
+    for f, out in ranges.items():
+        groups = with_range(groups, "value", ref.splits[f], out)
+    own = by_feature(ref.numerics, lambda f: F.col(ranges[f]))
+    return groups.withColumn("_range", own).drop(*ranges.values())
+
+
 def drift_of_counts(ref: FrozenReference, counts: DataFrame) -> DataFrame:
     """The drift report of counted rows against the frozen reference: type, psi, class, KS, p-value.
 
@@ -119,13 +128,10 @@ def drift_of_counts(ref: FrozenReference, counts: DataFrame) -> DataFrame:
     )
     report = psi_of_cells(cells)
     if ref.numerics:
-        ranged = sides.where("value IS NOT NULL").withColumn(
-            "_range", by_feature(ref.numerics, lambda f: interior_bin("value", ref.splits[f], side="left"))
-        )
-        groups = ranged.groupBy("feature", "value", "_range").agg(
+        groups = sides.where("value IS NOT NULL").groupBy("feature", "value").agg(
             F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur")
         )
-        report = report.join(ks_of_groups(groups), "feature", "left")
+        report = report.join(ks_of_groups(with_own_range(groups, ref)), "feature", "left")
     else:
         report = report.withColumns({c: F.lit(None).cast("double") for c in ("ks_stat", "ks_pvalue")})
     kind = F.when(F.col("feature").isin(*ref.numerics), "numeric").otherwise("categorical")

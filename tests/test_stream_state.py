@@ -172,6 +172,40 @@ def test_frozen_counts_give_the_batch_report(spark, drops, tmp_path):
     assert all(got[f] == want[f] for f in names)
 
 
+def test_frozen_ranges_may_be_many(spark):
+    """Ranges grow with the shuffle partitions; as a chain of conditions 800 of them overflowed the stack."""
+    reference = spark.range(6000).select("id", (F.pmod(F.col("id") * 7919, F.lit(5003)) / 4).alias("a"),
+                                         (F.pmod(F.col("id") * 31, F.lit(3001)) - 1500).alias("b"))
+    current = reference.where("id % 3 > 0").withColumn("a", F.col("a") + F.col("id") % 100)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "512")
+        ref = H.freeze(reference, ["a", "b"], [])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert min(len(ref.splits[f]) for f in ("a", "b")) > 1200
+    got = {r.feature: r for r in H.drift_of_counts(ref, H.cell_counts(current, ref)).collect()}
+    want = {r.feature: r for r in detect_drift(reference, current, "id", ["a", "b"]).collect()}
+    assert got == want and set(got) == {"a", "b"}
+
+
+def test_zeros_infinities_and_missing_values_in_frozen_ranges(spark):
+    """Every value of a feature is one step of the KS curve, whatever its range or sign of zero."""
+    before = [-0.0] * 6 + [0.0] * 5 + [-1.0] * 3 + [2.0, float("-inf"), float("nan"), None]
+    after = [0.0] * 9 + [-0.0] * 2 + [-1.0] + [2.0] * 4 + [float("inf")] * 3 + [float("nan"), None]
+    reference, current = (spark.createDataFrame([(v,) for v in x], "v double") for x in (before, after))
+    ref = H.freeze(reference, ["v"], [])
+    assert 0.0 in ref.splits["v"]
+
+    def shares(x):
+        x = [v for v in x if v is not None]  # not-a-number comes after all others
+        return [sum(v <= at for v in x) / len(x) for at in (float("-inf"), -1.0, 0.0, 2.0, float("inf"))]
+
+    gap = max(abs(a - b) for a, b in zip(shares(before), shares(after), strict=True))
+    row = H.drift_of_counts(ref, H.cell_counts(current, ref)).first()
+    assert row.ks_stat == round(gap, 4)
+
+
 def test_sessions_of_a_stream_and_their_late_rows(spark, tmp_path):
     def drop(*rows):
         df = spark.createDataFrame([(u, s, 0.5) for u, s in rows], "user string, ts string, probability double")
